@@ -2,16 +2,16 @@
 
 Everything except NFC runs inside whole-stage codegen (``regexp_replace``,
 ``translate``, ``regexp_count``). NFC has no built-in; it goes through one
-Arrow-batched pandas UDF and only rows holding a code point >= U+0300 are
-shipped to Python (every character below that is already NFC-stable).
+Arrow UDF (``pyarrow.compute.utf8_normalize``, vectorised C++) and only rows
+holding a code point >= U+0300 are shipped (every character below that is
+already NFC-stable); the others travel as NULL and keep their JVM value.
 """
 
 from __future__ import annotations
 
 import functools
-import unicodedata
-
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
@@ -40,14 +40,9 @@ def decode_utf8(c: ColumnOrName, dtype=None) -> Column:
 
 
 # --- T2 ---------------------------------------------------------------------
-@F.pandas_udf(StringType())
-def _nfc_batch(s: pd.Series) -> pd.Series:
-    def one(x):
-        if x is None or unicodedata.is_normalized("NFC", x):
-            return x
-        return unicodedata.normalize("NFC", x)
-
-    return s.map(one)
+@F.arrow_udf(StringType())
+def _nfc_batch(s: pa.Array) -> pa.Array:
+    return pc.utf8_normalize(s, form="NFC")
 
 
 NFC_SUSPECT = r"[\x{300}-\x{10ffff}]"
