@@ -2,16 +2,17 @@
 
 Everything except NFC runs inside whole-stage codegen (``regexp_replace``,
 ``translate``, ``regexp_count``). NFC has no built-in; it goes through one
-Arrow UDF (``pyarrow.compute.utf8_normalize``, vectorised C++) and only rows
-holding a code point >= U+0300 are shipped (every character below that is
-already NFC-stable); the others travel as NULL and keep their JVM value.
+Arrow UDF and only rows holding a code point >= U+0300 are shipped (every
+character below that is already NFC-stable); the others travel as NULL and
+keep their JVM value.
 """
 
 from __future__ import annotations
 
 import functools
+import unicodedata
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
@@ -42,7 +43,12 @@ def decode_utf8(c: ColumnOrName, dtype=None) -> Column:
 # --- T2 ---------------------------------------------------------------------
 @F.arrow_udf(StringType())
 def _nfc_batch(s: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(s, form="NFC")
+    # pyarrow's utf8_normalize(form="NFC") returns decomposed text in the pinned version,
+    # so the per-value helper is Python's own normaliser (only suspect rows reach it).
+    def one(x):
+        return x if x is None or unicodedata.is_normalized("NFC", x) else unicodedata.normalize("NFC", x)
+
+    return pa.array([one(x) for x in s.to_pylist()], type=pa.string())
 
 
 NFC_SUSPECT = r"[\x{300}-\x{10ffff}]"
