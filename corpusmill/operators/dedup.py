@@ -187,14 +187,20 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def greedy_dropped(bands: DataFrame, order: str = ORDER, max_rounds: int | None = None) -> tuple[DataFrame, int]:
+def greedy_dropped(
+    bands: DataFrame, order: str = ORDER, max_rounds: int | None = None, partitions: int | None = None
+) -> tuple[DataFrame, int]:
     """Orders dropped by the greedy scan, given ``(order, band, key)`` rows. Returns (dropped, rounds).
 
-    Exact for any input: each round decides at least the earliest undecided row.
+    Exact for any input: each round decides at least the earliest undecided row. The state
+    is kept hash-partitioned on ``(band, key)`` (checkpoints keep the partitioning), so the
+    per-bucket minimum and its join back to the members need no shuffle.
     """
+    spark = bands.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sizes = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("__n"))
     state = bands.join(sizes.where(F.col("__n") > 1).select("band", "key"), ["band", "key"], "left_semi")
-    state = _checkpoint(state.select(order, "band", "key"))
+    state = _checkpoint(state.select(order, "band", "key").repartition(n, "band", "key"))
     dropped_parts: list[DataFrame] = []
     rounds = 0
     while not state.isEmpty():
@@ -205,18 +211,21 @@ def greedy_dropped(bands: DataFrame, order: str = ORDER, max_rounds: int | None
         status = (
             state.join(mins, ["band", "key"], "inner")
             .groupBy(order)
-            .agg(F.min((F.col(order) == F.col("__m")).cast("int")).alias("__all_min"))
+            .agg(F.min((F.col(order) == F.col("__m")).cast("int")).alias("__kept"))
         )
-        kept = status.where(F.col("__all_min") == 1).select(order)
+        kept = status.where(F.col("__kept") == 1).select(order)
         killed = state.join(kept, order, "left_semi").select("band", "key")
-        decided = state.join(killed, ["band", "key"], "left_semi").select(order).distinct()
+        decided = (
+            state.join(killed, ["band", "key"], "left_semi")
+            .select(order)
+            .distinct()
+            .join(kept.withColumn("__k", F.lit(True)), order, "left_outer")
+        )
         decided = _checkpoint(decided)
-        dropped_parts.append(_checkpoint(decided.join(kept, order, "left_anti")))
-        state = _checkpoint(state.join(decided, order, "left_anti"))
-    spark = bands.sparkSession
+        dropped_parts.append(decided.where(F.col("__k").isNull()).select(order))
+        state = _checkpoint(state.join(decided.select(order), order, "left_anti").repartition(n, "band", "key"))
     if not dropped_parts:
-        empty = spark.createDataFrame([], bands.select(order).schema)
-        return empty, 0
+        return spark.createDataFrame([], bands.select(order).schema), 0
     dropped = dropped_parts[0]
     for p in dropped_parts[1:]:
         dropped = dropped.unionByName(p)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import text as T
 from ..operators import dedup as D
+from ..operators.columns import clean_columns
 from ..operators import filters as FL
 from ..operators import reshape as R
 from ..oracle import dedup_sql as DS
@@ -98,7 +98,7 @@ def _pipeline_sql():
 def cleaned_corpus(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     canon = R.canonical_projection(d, F.col("source"), None, "train", "text", order="doc_id")
-    return FL.filter_nonempty_input(canon.withColumn("input", T.clean_text("input")))
+    return FL.filter_nonempty_input(clean_columns(canon, ["input"]))
 
 
 @register("dedup_pipeline", "D6", _pipeline_sql)

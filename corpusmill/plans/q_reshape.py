@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import filters as FL
+from ..operators.columns import clean_columns
 from ..operators import reshape as R
 from ..oracle import reshape_sql as RS
 from ..oracle import text_sql as S
@@ -258,8 +259,8 @@ def _cleaned_docs_sql():
     lambda: f"SELECT doc_id, input FROM ({_cleaned_docs_sql()}) AS c WHERE NOT {S.is_blank('input')}",
 )
 def q_filter_nonempty_input(spark, sf_dir):
-    d = _docs(spark, sf_dir).select("doc_id", T.clean_text("text").alias("input"))
-    return FL.filter_nonempty_input(d)
+    d = _docs(spark, sf_dir).select("doc_id", F.col("text").alias("input"))
+    return FL.filter_nonempty_input(clean_columns(d, ["input"]))
 
 
 def _clean_columns_sql():
@@ -271,7 +272,7 @@ def _clean_columns_sql():
 def _clean_columns(spark, sf_dir):
     rows = _mcq_rows(spark, sf_dir)
     cols = ["instruction", "input", "output"]
-    return rows.withColumns({c: T.clean_text(c) for c in cols}).select(F.col(ORDER).alias("item_id"), *cols)
+    return clean_columns(rows, cols).select(F.col(ORDER).alias("item_id"), *cols)
 
 
 @register("clean_columns", "T18", _clean_columns_sql)

@@ -1 +1,263 @@
-"""Registered queries (filled in as operators land)."""
+"""Registered source/sink queries (S1-S13, F3): catalog work and file round trips.
+
+File round trips write the driver's tables into a fresh folder below the shared
+checkpoint directory and read them back with the source under test.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import filters as FL
+from ..operators import reshape as R
+from ..operators import stats as ST
+from ..oracle import stats_sql as SS
+from ..oracle import text_sql as S
+from ..schema import INSTRUCTION_TUNING, ORDER
+from ..session import staging_path
+from ..sources import catalog as C
+from ..sources import files as FS
+from . import standins as SI
+from .q_stats import round_stats
+from .registry import register
+from .tables import table
+
+COMMERCIAL_SQL = "substr(md5(source), 1, 1) < 'c'"
+
+
+def _docs(spark, sf_dir):
+    return table(spark, sf_dir, "documents")
+
+
+def _canon(spark, sf_dir):
+    return R.canonical_projection(_docs(spark, sf_dir), F.col("source"), None, "train", "text", order="doc_id")
+
+
+def _catalog(spark, sf_dir):
+    return C.catalog_from_corpus(_docs(spark, sf_dir), subset="lang")
+
+
+@register(
+    "catalog_select",
+    "S1",
+    f"""SELECT source, 'datasets/' || source AS path, array_to_string(list_sort(list(DISTINCT lang)), ',') AS data_dir,
+  'train' AS source_split, 'fine-tuning' AS adaptation_type, {COMMERCIAL_SQL} AS commercial_use
+FROM documents WHERE source = 'src3' GROUP BY source""",
+)
+def q_catalog_select(spark, sf_dir):
+    c = C.catalog_select(_catalog(spark, sf_dir), "src3")
+    return c.select(
+        "source",
+        "path",
+        F.array_join("data_dir", ",").alias("data_dir"),
+        F.array_join("source_split", ",").alias("source_split"),
+        "adaptation_type",
+        "commercial_use",
+    )
+
+
+@register("license_filter", "S2", f"SELECT doc_id, source FROM documents WHERE {COMMERCIAL_SQL}")
+def q_license_filter(spark, sf_dir):
+    cat = C.license_catalog(_catalog(spark, sf_dir), make_commercial=True)
+    return C.license_filter(_docs(spark, sf_dir), cat, make_commercial=True).select("doc_id", "source")
+
+
+def _mixed_corpus(spark, sf_dir) -> DataFrame:
+    """Fine-tuning documents plus an instruction-tuning question bank, as one sourced corpus."""
+    mcq = R.instruction_rows(R.mcq_prompt_array(SI.mcq_bank(spark, sf_dir)), "FRENCHMEDMCQA", None, "train", order="item_id")
+    return _canon(spark, sf_dir).unionByName(mcq)
+
+
+@register(
+    "filter_adaptation_type",
+    "F3",
+    "SELECT 'FRENCHMEDMCQA' AS source, item_id AS row_order FROM benchmark",
+)
+def q_filter_adaptation_type(spark, sf_dir):
+    corpus = _mixed_corpus(spark, sf_dir)
+    catalog = C.catalog_from_corpus(corpus, instruction="instruction")
+    return FL.filter_adaptation_type(corpus, catalog, INSTRUCTION_TUNING).select("source", ORDER)
+
+
+# --- file round trips ------------------------------------------------------------------
+def stage_text_files(spark, sf_dir) -> str:
+    """``documents`` written one ``.txt`` file per row (``maxRecordsPerFile=1``)."""
+    path = staging_path(spark, "text-files")
+    _docs(spark, sf_dir).select("text").write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+def stage_gzip_corpora(spark, sf_dir, max_records: int = 200) -> str:
+    """``documents`` texts as gzip line files, one directory per source, several members per corpus."""
+    path = staging_path(spark, "gzip-corpora")
+    d = _docs(spark, sf_dir).select("source", "text", "doc_id").repartition("source").sortWithinPartitions("doc_id")
+    (
+        d.select("text", "source")
+        .write.partitionBy("source")
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", max_records)
+        .text(path)
+    )
+    return path
+
+
+TEXT_FILES_SQL = "SELECT regexp_replace(text || chr(10), '\\r\\n?', chr(10), 'g') AS text FROM documents"
+LINES_SQL = (
+    "SELECT source AS corpus, unnest(string_split_regex(text || chr(10), '\\r\\n|\\r|\\n')[:-2]) AS text FROM documents"
+)
+
+
+@register("scan_text_files", "S3", TEXT_FILES_SQL)
+def q_scan_text_files(spark, sf_dir):
+    files = FS.scan_text_files(spark, stage_text_files(spark, sf_dir))
+    return files.select("text")
+
+
+def _corpus_dirs(spark, root: str) -> list[str]:
+    listing = FS.list_files(spark, root, "*.gz", recursive=True).select(
+        F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("dir")
+    )
+    return sorted(r[0] for r in listing.distinct().collect())  # bounded: one entry per corpus
+
+
+@register("scan_split_gzip", "S4", LINES_SQL)
+def q_scan_split_gzip(spark, sf_dir):
+    root = stage_gzip_corpora(spark, sf_dir)
+    lines = FS.scan_split_gzip(spark, _corpus_dirs(spark, root))
+    return lines.select(F.regexp_replace("corpus", "^source=", "").alias("corpus"), "text")
+
+
+@register(
+    "scan_local_dispatch",
+    "S5",
+    f"SELECT 'txt' AS kind, text FROM ({TEXT_FILES_SQL}) AS t UNION ALL SELECT 'gz' AS kind, text FROM ({LINES_SQL}) AS g "
+    "WHERE corpus = 'src0'",
+)
+def q_scan_local_dispatch(spark, sf_dir):
+    txt = FS.scan_local_dispatch(spark, stage_text_files(spark, sf_dir)).select(F.lit("txt").alias("kind"), "text")
+    gz_root = stage_gzip_corpora(spark, sf_dir)
+    gz = FS.scan_local_dispatch(spark, f"{gz_root}/source=src0").select(F.lit("gz").alias("kind"), "text")
+    return txt.unionByName(gz)
+
+
+@register("scan_parquet", "S6", f"SELECT doc_id, source, text FROM documents WHERE {COMMERCIAL_SQL}")
+def q_scan_parquet(spark, sf_dir):
+    root = staging_path(spark, "by-source")
+    FS.write_by_source(_docs(spark, sf_dir).select("doc_id", "text", "source"), root)
+    commercial = [r.source for r in C.license_catalog(_catalog(spark, sf_dir), True).select("source").collect()]
+    paths = [f"{root}/source={s}" for s in sorted(commercial)]  # bounded: one path per catalog source
+    df = FS.scan_parquet(spark, paths).withColumn("source", F.regexp_extract(F.col("_metadata.file_path"), r"source=([^/]+)", 1))
+    return df.select("doc_id", "source", "text")
+
+
+@register(
+    "scan_remote_tables",
+    "S7",
+    "SELECT NULL::VARCHAR AS instruction, text AS input, NULL::VARCHAR AS output, source, NULL::VARCHAR AS data_dir, "
+    "'train' AS source_split, doc_id AS row_order FROM documents",
+)
+def q_scan_remote_tables(spark, sf_dir):
+    d = FS.read_table(spark, sf_dir, "documents.parquet")
+    return R.canonical_projection(d, F.col("source"), None, "train", "text", order="doc_id")
+
+
+def _documents_loader(docs: DataFrame):
+    def load(spark, entry, data_dir, split):
+        part = docs.where((F.col("source") == entry["source"]) & (F.col("lang") == data_dir))
+        return R.canonical_projection(part, entry["source"], data_dir, split, "text", order="doc_id")
+
+    return load
+
+
+@register(
+    "ingest_fanout",
+    "S8",
+    "SELECT source, lang AS data_dir, 'train' AS source_split, doc_id, text AS input FROM documents",
+)
+def q_ingest_fanout(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    catalog = _catalog(spark, sf_dir)
+    names = [r.source for r in catalog.select("source").collect()]  # bounded metadata
+    registry = C.SourceRegistry({n: _documents_loader(docs) for n in names})
+    out = C.ingest_fanout(spark, catalog, registry)
+    return out.select("source", "data_dir", "source_split", F.col(f"{ORDER}.pos").alias("doc_id"), "input")
+
+
+@register(
+    "source_registry",
+    "S13",
+    lambda: (
+        "SELECT source, text AS input FROM documents UNION ALL "
+        f"SELECT 'MQC' AS source, array_to_string({S.split_lines('text')}, ' ') AS input FROM ({SI.DIALOGUE_SQL}) AS f"
+    ),
+)
+def q_source_registry(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    registry = C.SourceRegistry()
+
+    @registry.register("DOCUMENTS")
+    def _load_docs(spark_, entry, data_dir, split):
+        return R.canonical_projection(docs, F.col("source"), data_dir, split, "text", order="doc_id")
+
+    @registry.register("MQC")
+    def _load_dialogues(spark_, entry, data_dir, split):
+        f = SI.dialogue_files(spark_, sf_dir).withColumn("text", R.flatten_lines(F.col("text")))
+        return R.canonical_projection(f, entry["source"], data_dir, split, "text", order="conv_id")
+
+    catalog = C.catalog_frame(
+        spark,
+        [
+            {"source": "DOCUMENTS", "path": sf_dir, "data_dir": None, "source_split": "train", "commercial_use": True},
+            {"source": "MQC", "path": sf_dir, "data_dir": "French", "source_split": "train", "commercial_use": False},
+        ],
+    )
+    return C.ingest_fanout(spark, catalog, registry).select("source", "input")
+
+
+@register(
+    "write_by_source",
+    "S9",
+    lambda: (
+        f"SELECT source, doc_id, text AS input FROM documents WHERE source <> 'src3' UNION ALL "
+        + S.clean_text_select("SELECT source, doc_id, text FROM documents WHERE source = 'src3'", ["source", "doc_id"], "text", "input")
+    ),
+)
+def q_write_by_source(spark, sf_dir):
+    """Write all sources, then rebuild one source: only its partition is replaced."""
+    root = staging_path(spark, "sourced")
+    docs = _docs(spark, sf_dir).select("doc_id", F.col("text").alias("input"), "source")
+    FS.write_by_source(docs, root)
+    rebuilt = docs.where(F.col("source") == "src3").withColumn("input", T.clean_text("input"))
+    FS.write_by_source(rebuilt, root)
+    back = spark.read.parquet(root)
+    return back.select("source", "doc_id", "input")
+
+
+@register("write_training_set", "S10", f"SELECT doc_id, text AS input FROM documents WHERE {COMMERCIAL_SQL}")
+def q_write_training_set(spark, sf_dir):
+    root = staging_path(spark, "training")
+    cat = C.license_catalog(_catalog(spark, sf_dir), True)
+    rows = C.license_filter(_docs(spark, sf_dir), cat, True).select("doc_id", F.col("text").alias("input"))
+    path = FS.write_training_set(rows, root, make_commercial=True)
+    return spark.read.parquet(path)
+
+
+@register("write_stats_csv", "S11", lambda: SS.rounded(SS.per_label("SELECT source, text FROM documents", "text")))
+def q_write_stats_csv(spark, sf_dir):
+    path = staging_path(spark, "stats-csv")
+    FS.write_stats_csv(ST.stats_by_source(_canon(spark, sf_dir)), path)
+    return round_stats(FS.read_stats_csv(spark, path))
+
+
+@register("write_sized_gzip", "S12", f"SELECT text FROM ({LINES_SQL}) AS l")
+def q_write_sized_gzip(spark, sf_dir):
+    path = staging_path(spark, "sized-gzip")
+    FS.write_sized_gzip(_docs(spark, sf_dir), path, "text", max_records=100)
+    return spark.read.text(path).select(F.col("value").alias("text"))
+
+
+__all__ = ["reduce"]

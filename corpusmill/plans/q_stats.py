@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import text as T
 from ..operators import dedup as D
+from ..operators.columns import clean_columns
 from ..operators import filters as FL
 from ..operators import reshape as R
 from ..operators import stats as ST
@@ -139,7 +139,7 @@ def _exact_sql():
 
 
 def cleaned(spark, sf_dir) -> DataFrame:
-    return FL.filter_nonempty_input(_raw(spark, sf_dir).withColumn("input", T.clean_text("input")))
+    return FL.filter_nonempty_input(clean_columns(_raw(spark, sf_dir), ["input"]))
 
 
 @register(

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import join_small
-from ..schema import CATALOG_SCHEMA, FINE_TUNING, check_adaptation_type
+from ..schema import CATALOG_SCHEMA, FINE_TUNING, INSTRUCTION_TUNING, check_adaptation_type
 
 CATALOG_FIELDS = [f.name for f in CATALOG_SCHEMA]
 
@@ -92,20 +92,25 @@ def license_filter(corpus: DataFrame, catalog: DataFrame, make_commercial: bool)
     return join_small(corpus, catalog.where(F.col("commercial_use")).select("source"), "source", "left_semi")
 
 
-def catalog_from_corpus(corpus: DataFrame, source: str = "source", subset: str | None = None) -> DataFrame:
+def catalog_from_corpus(
+    corpus: DataFrame, source: str = "source", subset: str | None = None, instruction: str | None = None
+) -> DataFrame:
     """A stand-in catalog derived from a corpus: one entry per distinct source.
 
     ``commercial_use`` is a deterministic flag from the name (first hex digit of its md5 below ``c``),
-    ``data_dir`` the sorted distinct ``subset`` values when given.
+    ``data_dir`` the sorted distinct ``subset`` values when given, ``adaptation_type`` instruction-tuning
+    for sources whose rows carry an ``instruction``.
     """
     dirs = F.array_sort(F.collect_set(F.col(subset))) if subset else F.array(F.lit(None).cast("string"))
-    return corpus.groupBy(F.col(source).alias("source")).agg(dirs.alias("data_dir")).select(
+    has_instr = F.max(F.col(instruction).isNotNull()) if instruction else F.lit(False)
+    agg = corpus.groupBy(F.col(source).alias("source")).agg(dirs.alias("data_dir"), has_instr.alias("__instr"))
+    return agg.select(
         "source",
         F.concat(F.lit("datasets/"), F.col("source")).alias("path"),
         "data_dir",
         F.array(F.lit("train")).alias("source_split"),
         F.lit("train").alias("target_split"),
-        F.lit(FINE_TUNING).alias("adaptation_type"),
+        F.when(F.col("__instr"), F.lit(INSTRUCTION_TUNING)).otherwise(F.lit(FINE_TUNING)).alias("adaptation_type"),
         (F.substring(F.md5(F.col("source")), 1, 1) < F.lit("c")).alias("commercial_use"),
         F.concat(F.lit("Stand-in entry for "), F.col("source")).alias("comment"),
     )
