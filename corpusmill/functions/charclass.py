@@ -35,3 +35,104 @@ P_CHARS = [chr(c) for c in (*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B,
 def esc(ch: str) -> str:
     """Regex escape of one character usable by Java and RE2."""
     return "\\x{%x}" % ord(ch)
+
+
+def _class_items(body: str) -> tuple[list[tuple[int, int]], list[str]]:
+    """Parse the class bodies above (literals, ``a-b`` ranges, ``\\x{..}``, ``\\t``, ``\\r``, ``\\[``, ``\\p{..}``)."""
+    simple = {"t": 0x09, "r": 0x0D, "n": 0x0A, "[": 0x5B, "]": 0x5D, "\\": 0x5C, "-": 0x2D}
+    cps: list[int | str] = []
+    i = 0
+    while i < len(body):
+        ch = body[i]
+        if ch == "\\":
+            nxt = body[i + 1]
+            if nxt == "x":
+                j = body.index("}", i)
+                cps.append(int(body[i + 3 : j], 16))
+                i = j + 1
+            elif nxt == "p":
+                j = body.index("}", i)
+                cps.append(body[i : j + 1])
+                i = j + 1
+            else:
+                cps.append(simple[nxt])
+                i += 2
+        elif ch == "-" and cps and isinstance(cps[-1], int) and i + 1 < len(body):
+            cps.append("-")
+            i += 1
+        else:
+            cps.append(ord(ch))
+            i += 1
+    ranges, props, k = [], [], 0
+    while k < len(cps):
+        item = cps[k]
+        if isinstance(item, str) and item != "-":
+            props.append(item)
+            k += 1
+        elif k + 2 < len(cps) and cps[k + 1] == "-" and isinstance(cps[k + 2], int):
+            ranges.append((item, cps[k + 2]))
+            k += 3
+        else:
+            ranges.append((item, item))
+            k += 1
+    return ranges, props
+
+
+MAX_CP = 0x10FFFF
+
+
+def _complement(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out, nxt = [], 0
+    for lo, hi in sorted(ranges):
+        if lo > nxt:
+            out.append((nxt, lo - 1))
+        nxt = max(nxt, hi + 1)
+    if nxt <= MAX_CP:
+        out.append((nxt, MAX_CP))
+    return out
+
+
+def java_class(*bodies: str, negate: bool = False) -> str:
+    """The same set as ``[`` + bodies + ``]`` (or ``[^`` ... ``]`` with ``negate``) laid out for Java's
+    matcher, to be used inside a *positive* class: members below U+0100 as single characters (Java
+    gathers those into one 256-entry bit table), the rest as ranges and properties. A negated set is
+    written out as its explicit complement ranges, because Java matches a negated class that has
+    members above U+00FF an order of magnitude slower. Membership is unchanged."""
+    ranges: list[tuple[int, int]] = []
+    props: list[str] = []
+    for body in bodies:
+        rs, ps = _class_items(body)
+        ranges += rs
+        props += ps
+    if negate:
+        if props:
+            raise ValueError("cannot complement a class holding Unicode properties")
+        ranges = _complement(ranges)
+    singles: set[int] = set()
+    wide: list[tuple[int, int]] = []
+    for lo, hi in ranges:
+        for cp in range(lo, min(hi, 0xFF) + 1):
+            singles.add(cp)
+        if hi > 0xFF:
+            wide.append((max(lo, 0x100), hi))
+    out = "".join("\\x{%x}" % cp for cp in sorted(singles))
+    out += "".join("\\x{%x}" % lo if lo == hi else "\\x{%x}-\\x{%x}" % (lo, hi) for lo, hi in sorted(wide))
+    return out + "".join(props)
+
+
+def _latin1_word_chars() -> str:
+    """Members of ``W`` below U+0100 (letters and numbers by Unicode category, plus underscore)."""
+    import unicodedata
+
+    cps = [cp for cp in range(0x100) if unicodedata.category(chr(cp))[0] in "LN" or cp == 0x5F]
+    return "".join("\\x{%x}" % cp for cp in cps)
+
+
+# Java layouts of the classes (same members, cheaper matching); the RE2 oracle uses the plain forms.
+J_WS = java_class(WS)
+J_P = java_class(P)
+J_L = java_class(L)
+J_W = java_class(_latin1_word_chars(), W)
+J_NOT_WS = java_class(WS, negate=True)
+J_NOT_KEEP = java_class(L, "0-9", P, WS, negate=True)
+J_P_WS = java_class(P, WS)
