@@ -45,6 +45,7 @@ def _load_all() -> None:
         q_reshape,
         q_sources,
         q_stats,
+        q_streaming,
         q_text,
     )
 

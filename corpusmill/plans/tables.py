@@ -11,8 +11,8 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-# Tables whose rows go through the regex chain or MinHash: spread when the scan is too narrow.
-TEXT_TABLES = {"documents", "pages"}
+# Tables whose rows go through regex work, MinHash or line parsing: spread when the scan is too narrow.
+TEXT_TABLES = {"documents", "pages", "conversations", "lineitem"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
