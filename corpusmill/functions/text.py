@@ -32,6 +32,7 @@ from .charclass import (
     W,
     WS,
     esc,
+    java_class,
 )
 
 ColumnOrName = Column | str
@@ -104,12 +105,19 @@ def codepage_chars(codepage: str = "cp863") -> str:
 
 
 def codepage_class(codepage: str = "cp863") -> str:
+    """Characters outside the code page (plain negated form)."""
     return "[^" + "".join(esc(ch) for ch in codepage_chars(codepage)) + "]"
 
 
+@functools.lru_cache(maxsize=None)
+def _codepage_class_java(codepage: str) -> str:
+    body = "".join(esc(ch) for ch in codepage_chars(codepage))
+    return "[" + java_class(body, negate=True) + "]"
+
+
 def keep_codepage(c: ColumnOrName, codepage: str = "cp863") -> Column:
     """Drop characters the code page cannot encode."""
-    return F.regexp_replace(_c(c), codepage_class(codepage), "")
+    return F.regexp_replace(_c(c), _codepage_class_java(codepage), "")
 
 
 # --- T6 ---------------------------------------------------------------------
@@ -125,17 +133,29 @@ def strip_punctuation(c: ColumnOrName) -> Column:
 
 
 # --- F5 / T8 ----------------------------------------------------------------
-GATE_WORD = f"(?=[{J_L}])(?<![{J_W}])[{J_L}]++(?![{J_W}])"
+# A gate word is a maximal word-character run, made only of the letter class, of the text with its
+# ASCII punctuation removed. Removing punctuation only glues neighbours, so on the original text this
+# is a maximal run of word-or-punctuation characters whose non-punctuation characters are all letters
+# (at least one): one pass, no intermediate string.
+_WP = J_W + J_P
+_LP = J_L + J_P
+GATE_WORD = f"(?=[{_LP}])(?<![{_WP}])[{J_P}]*+[{J_L}][{_LP}]*+(?![{_WP}])"
 
 
 def count_gate_words(c: ColumnOrName) -> Column:
-    """Words of the gate: maximal word-character runs made only of the letter class."""
-    return F.regexp_count(strip_punctuation(c), F.lit(GATE_WORD))
+    """Words of the gate: maximal word-character runs made only of the letter class (punctuation removed)."""
+    return F.regexp_count(_c(c), F.lit(GATE_WORD))
 
 
 def word_gate(c: ColumnOrName, n: int = DEFAULT_MIN_WORDS) -> Column:
-    """at least ``n`` letter-only words after punctuation removal (linear, no backtracking blow-up)."""
-    return count_gate_words(c) >= F.lit(n)
+    """at least ``n`` letter-only words after punctuation removal.
+
+    Linear and short-circuiting: the match stops at the ``n``-th word, so a long text that passes
+    is not scanned to its end (the reference's look-ahead pattern backtracks polynomially).
+    """
+    if n <= 0:
+        return _c(c).isNotNull()
+    return _c(c).rlike(f"(?s){GATE_WORD}(?:.*?{GATE_WORD}){{{n - 1}}}")
 
 
 def word_gate_blank(c: ColumnOrName, n: int = DEFAULT_MIN_WORDS) -> Column:
