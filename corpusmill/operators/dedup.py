@@ -277,8 +277,25 @@ def greedy_dropped(
     return dropped, rounds
 
 
-def dedup_near_greedy(df: DataFrame, text: str = "input", order: str = ORDER, bands_df: DataFrame | None = None) -> DataFrame:
-    """Keep a row iff it shares no LSH band with an earlier *kept* row (rows in ``order``)."""
+def dedup_near_greedy(
+    df: DataFrame,
+    text: str = "input",
+    order: str = ORDER,
+    bands_df: DataFrame | None = None,
+    stage: str | None = None,
+    materialize: bool = True,
+) -> DataFrame:
+    """Keep a row iff it shares no LSH band with an earlier *kept* row (rows in ``order``).
+
+    ``df`` is read twice (signatures, then the final anti-join), so by default it is first written
+    once as Parquet below the shared checkpoint folder: its lineage (e.g. an exact-dedup shuffle)
+    runs a single time and the signature pass reads only the id and text columns.
+    """
+    if materialize:
+        spark: SparkSession = df.sparkSession
+        stage = stage or staging_path(spark, "near-dedup-input")
+        df.write.mode("overwrite").parquet(stage)
+        df = spark.read.parquet(stage)
     if bands_df is None:
         sig = df.select(order, minhash_signature(F.col(text)).alias("signature"))
         bands_df = lsh_bands(sig, [order])
@@ -305,15 +322,8 @@ def dedup_pipeline(df: DataFrame, order: str = ORDER, stage: str | None = None)
     (``stage``), so the signature pass reads only ids and text and the final anti-join
     reads the rows once.
     """
-    spark: SparkSession = df.sparkSession
-    stage = stage or staging_path(spark, "dedup-exact")
     exact = dedup_exact(df.select(*DEDUPED, order), "input", order)
-    exact.write.mode("overwrite").parquet(stage)
-    exact = spark.read.parquet(stage)
-    sig = exact.select(order, minhash_signature(F.col("input")).alias("signature"))
-    bands_df = lsh_bands(sig, [order])
-    dropped, _ = greedy_dropped(bands_df, order)
-    return exact.join(dropped, order, "left_anti").select(*DEDUPED, order)
+    return dedup_near_greedy(exact, "input", order, stage=stage).select(*DEDUPED, order)
 
 
 def dedup_by_adaptation(df: DataFrame, adaptation_type: str, order: str = ORDER, seed: int = SHUFFLE_SEED) -> DataFrame:
