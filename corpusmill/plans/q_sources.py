@@ -134,14 +134,14 @@ def q_scan_split_gzip(spark, sf_dir):
 @register(
     "scan_local_dispatch",
     "S5",
-    f"SELECT 'txt' AS kind, text FROM ({TEXT_FILES_SQL}) AS t UNION ALL SELECT 'gz' AS kind, text FROM ({LINES_SQL}) AS g "
-    "WHERE corpus = 'src0'",
+    f"SELECT 'txt' AS kind, text FROM ({TEXT_FILES_SQL}) AS t UNION ALL SELECT 'gz' AS kind, text FROM ({LINES_SQL}) AS g",
 )
 def q_scan_local_dispatch(spark, sf_dir):
+    """A text-file folder and every gzip corpus folder, each loaded through the dispatch."""
     txt = FS.scan_local_dispatch(spark, stage_text_files(spark, sf_dir)).select(F.lit("txt").alias("kind"), "text")
     gz_root = stage_gzip_corpora(spark, sf_dir)
-    gz = FS.scan_local_dispatch(spark, f"{gz_root}/source=src0").select(F.lit("gz").alias("kind"), "text")
-    return txt.unionByName(gz)
+    gz = [FS.scan_local_dispatch(spark, d).select(F.lit("gz").alias("kind"), "text") for d in _corpus_dirs(spark, gz_root)]
+    return reduce(DataFrame.unionByName, [txt, *gz])
 
 
 @register("scan_parquet", "S6", f"SELECT doc_id, source, text FROM documents WHERE {COMMERCIAL_SQL}")
@@ -259,5 +259,3 @@ def q_write_sized_gzip(spark, sf_dir):
     FS.write_sized_gzip(_docs(spark, sf_dir), path, "text", max_records=100)
     return spark.read.text(path).select(F.col("value").alias("text"))
 
-
-__all__ = ["reduce"]
