@@ -46,10 +46,16 @@ def main() -> None:
     qs["normalize_nfc"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for name in names:
         t0 = time.perf_counter()
-        df = qs[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
+        try:
+            df = qs[name](spark, sf_dir)
+            df.write.format("noop").mode("overwrite").save()
+        except Exception as exc:  # keep the JSON line: report the failure instead of a time
+            failed[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            print(f"# {name}: FAILED {failed[name]}", file=sys.stderr, flush=True)
+            continue
         times[name] = round(time.perf_counter() - t0, 3)
         print(f"# {name}: {times[name]:.2f}s", file=sys.stderr, flush=True)
 
@@ -62,6 +68,8 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
     }
+    if failed:
+        out["failed"] = failed
     print(json.dumps(out))
     spark.stop()
 

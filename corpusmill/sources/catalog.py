@@ -157,7 +157,7 @@ def ingest_fanout(
     The catalog (bounded metadata) is collected; every load stays a lazy plan, so the whole
     fan-out is one Spark job. ``per_source`` is applied to each source's union (e.g. F1/F2).
     """
-    entries = [r.asDict() for r in catalog.orderBy("source").collect()]
+    entries = [r.asDict() for r in catalog.orderBy("source").collect()]  # bounded: one row per catalog entry
     per_src: list[DataFrame] = []
     for rank, entry in enumerate(entries):
         load = registry.loader(entry["source"])

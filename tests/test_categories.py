@@ -42,6 +42,19 @@ def test_first_root_wins_and_counts(spark):
     assert counts == {"Med": 2, "Bio": 1, "Total": 3}
 
 
+def test_extract_job_writes_and_fails_when_empty(spark, tmp_dir):
+    import pytest
+
+    e, roots, ignore = _graph(spark)
+    titles = G.category_first_wins(G.category_distinct(G.category_expand(e, roots, ignore)))
+    pages = spark.createDataFrame([("p0", "t0"), ("p2", "t2")], "title string, text string")
+    out = G.extract_category_texts(titles, pages, tmp_dir + "/wiki")
+    assert sorted((r.subset, r.text) for r in out.collect()) == [("Bio", "t2"), ("Med", "t0")]
+    none = spark.createDataFrame([("zz", "t")], "title string, text string")
+    with pytest.raises(ValueError):
+        G.extract_category_texts(titles, none, tmp_dir + "/wiki2")
+
+
 def test_ignore_all_levels_and_deeper(spark):
     e, roots, ignore = _graph(spark)
     titles = G.category_expand(e, roots, ignore, max_level=2, ignore_all_levels=True)
