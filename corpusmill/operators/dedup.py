@@ -223,22 +223,21 @@ def greedy_dropped(
     bands: DataFrame,
     order: str = ORDER,
     max_rounds: int | None = None,
-    partitions: int | None = None,
     finish_below: int = FINISH_BELOW,
 ) -> tuple[DataFrame, int]:
     """Orders dropped by the greedy scan, given ``(order, band, key)`` rows. Returns (dropped, rounds).
 
-    Exact for any input: each round decides at least the earliest undecided row. The state
-    is kept hash-partitioned on ``(band, key)`` (checkpoints keep the partitioning), so the
-    per-bucket minimum and its join back to the members need no shuffle. Once the counted
-    state is at most ``finish_below`` entries, the rest is one exact sequential scan, which
-    bounds the number of rounds that long near-duplicate chains would otherwise need.
+    Exact for any input: each round decides at least the earliest undecided row. Bucket minima
+    are partial aggregates and the joins back to the bucket members are shuffle joins, so a
+    bucket holding a large share of the corpus is split by AQE's skew-join handling instead of
+    landing in one task. Once the counted state is at most ``finish_below`` entries, the rest
+    is one exact sequential scan, which bounds the number of rounds that long near-duplicate
+    chains would otherwise need.
     """
     spark = bands.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sizes = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("__n"))
     state = bands.join(sizes.where(F.col("__n") > 1).select("band", "key"), ["band", "key"], "left_semi")
-    state = _checkpoint(state.select(order, "band", "key").repartition(n, "band", "key"))
+    state = _checkpoint(state.select(order, "band", "key"))
     dropped_parts: list[DataFrame] = []
     rounds = 0
     while True:
@@ -268,7 +267,7 @@ def greedy_dropped(
         )
         decided = _checkpoint(decided)
         dropped_parts.append(decided.where(F.col("__k").isNull()).select(order))
-        state = _checkpoint(state.join(decided.select(order), order, "left_anti").repartition(n, "band", "key"))
+        state = _checkpoint(state.join(decided.select(order), order, "left_anti"))
     if not dropped_parts:
         return spark.createDataFrame([], bands.select(order).schema), 0
     dropped = dropped_parts[0]

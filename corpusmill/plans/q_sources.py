@@ -92,9 +92,10 @@ def stage_text_files(spark, sf_dir) -> str:
 
 
 def stage_gzip_corpora(spark, sf_dir, max_records: int = 200) -> str:
-    """``documents`` texts as gzip line files, one directory per source, several members per corpus."""
+    """``documents`` texts as gzip line files, one directory per source, several members per corpus
+    (each task writes its own files, so a dominant source is spread over many writers)."""
     path = staging_path(spark, "gzip-corpora")
-    d = _docs(spark, sf_dir).select("source", "text", "doc_id").repartition("source").sortWithinPartitions("doc_id")
+    d = _docs(spark, sf_dir)
     (
         d.select("text", "source")
         .write.partitionBy("source")
