@@ -28,7 +28,6 @@ from .charclass import (
     J_WS,
     LINE_BREAK,
     LONG_WORD,
-    P,
     W,
     WS,
     esc,

@@ -7,8 +7,6 @@ is collected to the driver.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +22,17 @@ from ..sources.files import read_table, scan_local_dispatch, scan_parquet, write
 
 CLEAN_COLUMNS = {FINE_TUNING: ["input"], INSTRUCTION_TUNING: ["instruction", "input", "output"]}
 
+# ---------------------------------------------------------------------------
+# Catalog source names (they must equal the catalog's ``source`` entries).
+# Sources read as folders of text files and projected with P1:
+TEXT_FOLDER_SOURCES = (
+    "HAL", "HAS", "EMEA_V3", "QUAERO", "BDPM", "ECDC_TM", "QUALISCOPE", "CNEDIMTS", "WMT18_MEDLINE",
+    "ISTEX", "CERIMES", "CLEAR", "E3C", "MANTRA_GSC", "CAS", "FRASIMED",
+)
+# The other families are registered by name below: MQC, PXCORPUS, ESSAI, WMT16, DEFT2021,
+# FRENCHMEDMCQA, MEDIQAL, WIKIPEDIA.
+# ---------------------------------------------------------------------------
+
 
 def _row_position(df: DataFrame) -> DataFrame:
     """Parquet rows get their physical position (file, row index) as the row order."""
@@ -51,8 +60,7 @@ def default_registry(lake_root: str, local_root: str = ".") -> SourceRegistry:
         files = scan_local_dispatch(spark, local(entry))
         return R.canonical_projection(files, entry["source"], data_dir, split, "text", order=ORDER)
 
-    for name in ("HAL", "HAS", "EMEA_V3", "QUAERO", "BDPM", "ECDC_TM", "QUALISCOPE", "CNEDIMTS", "WMT18_MEDLINE",
-                 "ISTEX", "CERIMES", "CLEAR", "E3C", "MANTRA_GSC", "CAS", "FRASIMED"):
+    for name in TEXT_FOLDER_SOURCES:
         reg[name] = text_files
 
     @reg.register("MQC")
@@ -161,4 +169,4 @@ def compute_stats(df: DataFrame, out_csv: str | None = None, is_sourced: bool =
     return stats
 
 
-__all__ = ["build_sourced", "compute_stats", "deduplicate", "default_registry", "reduce"]
+__all__ = ["build_sourced", "compute_stats", "deduplicate", "default_registry"]

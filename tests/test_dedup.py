@@ -118,3 +118,19 @@ def test_shuffle_is_deterministic_across_partitionings(spark):
     a = [r.row_order for r in D.shuffle_seeded(df.repartition(1)).collect()]
     b = [r.row_order for r in D.shuffle_seeded(df.repartition(7)).collect()]
     assert a == b and sorted(a) == list(range(500)) and a != list(range(500))
+
+
+def test_near_dedup_independent_of_shuffle_partitions(spark):
+    from tests.conftest import SF_SMALL
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(F.col("doc_id").alias("row_order"), F.col("text").alias("input"))
+    results = []
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "8"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            exact = D.dedup_exact(docs.repartition(int(n) * 3))
+            results.append(sorted(r.row_order for r in D.dedup_near_greedy(exact).select("row_order").collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert results[0] == results[1] and len(results[0]) > 0
