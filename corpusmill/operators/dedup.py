@@ -235,6 +235,9 @@ def greedy_dropped(
     chains would otherwise need.
     """
     spark = bands.sparkSession
+    # The band rows feed both the bucket sizes and the join below: materialise them once, so the
+    # MinHash signatures behind them are computed a single time.
+    bands = _checkpoint(bands.select(order, "band", "key"))
     sizes = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("__n"))
     state = bands.join(sizes.where(F.col("__n") > 1).select("band", "key"), ["band", "key"], "left_semi")
     state = _checkpoint(state.select(order, "band", "key"))
