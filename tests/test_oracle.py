@@ -43,3 +43,30 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     ok, msg = compare(spark, SF_SMALL, name, con)
     assert ok, msg
+
+
+def test_udfs_run_without_package_on_workers(tmp_dir):
+    """The driver may import the entry from any directory: UDF bodies must reach workers by value."""
+    import subprocess
+    import sys
+    import textwrap
+
+    script = textwrap.dedent(
+        f"""
+        import importlib.util
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+        spec = importlib.util.spec_from_file_location("spark_entry", "{ROOT}/__spark_entry__.py")
+        m = importlib.util.module_from_spec(spec)
+        spec.loader.exec_module(m)
+        q = m.queries()
+        print("SIG", q["minhash_signature"](spark, "{SF_SMALL}").collect()[0][1].count(","))
+        """
+    )
+    path = os.path.join(tmp_dir, "drv.py")
+    with open(path, "w") as fh:
+        fh.write(script)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, path], cwd=tmp_dir, env=env, capture_output=True, text=True, timeout=600)
+    assert "SIG 127" in out.stdout, out.stderr[-2000:]
