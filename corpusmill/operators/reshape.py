@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, NullType, StringType
 
 from ..functions import text as T
-from ..functions.charclass import WS
+from ..functions.charclass import WS_CHARS
 from ..schema import CANONICAL, DEDUPED, ORDER
 from . import prompts as PR
 
@@ -105,7 +105,8 @@ def explode_lines(df: DataFrame, text: str = "text", keep: list[str] | None = No
 
 # --- P7 / F6 ----------------------------------------------------------------
 def _pystrip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^[{WS}]+|[{WS}]+$", "")
+    """Python's ``str.strip()``: trim the Unicode whitespace characters from both ends (no regex)."""
+    return F.btrim(c, F.lit("".join(WS_CHARS)))
 
 
 def tsv_rows(lines: DataFrame, file: str = "file", pos: str = "pos", line: str = "line") -> DataFrame:

@@ -83,6 +83,8 @@ TEXTS_SQL = f"SELECT f.root AS subset, f.title, p.text FROM ({FIRST_WINS_SQL}) A
 
 def _expand(spark, sf_dir):
     edges, roots, pages, ignore = graph(spark, sf_dir)
+    # the edge table is read once per level: materialise it once (a written intermediate table)
+    edges = edges.checkpoint(eager=True)
     return G.category_expand(edges, roots, ignore, max_level=1), pages
 
 
