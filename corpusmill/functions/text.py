@@ -245,8 +245,17 @@ def clean_text(
 
 # --- T19 / T20 ----------------------------------------------------------------
 def count_words(c: ColumnOrName) -> Column:
-    """``len(text.split())``: runs of non-whitespace (Unicode whitespace)."""
-    return F.regexp_count(_c(c), F.lit(f"[{J_NOT_WS}]++")).cast("bigint")
+    """``len(text.split())``: runs of non-whitespace (Unicode whitespace).
+
+    Splitting on whitespace runs gives one piece per word plus an empty piece for leading and for
+    trailing whitespace; that is cheaper than extracting every match. Blank text has no words.
+    """
+    col = _c(c)
+    pieces = F.size(F.split(col, f"[{J_WS}]++"))
+    lead = F.substring(col, 1, 1).rlike(f"[{J_WS}]").cast("int")
+    trail = F.substring(col, -1, 1).rlike(f"[{J_WS}]").cast("int")
+    words = F.when(col.rlike(f"[{J_NOT_WS}]"), pieces - lead - trail).otherwise(F.lit(0))
+    return F.when(col.isNotNull(), words).cast("bigint")
 
 
 def count_chars(c: ColumnOrName) -> Column:
