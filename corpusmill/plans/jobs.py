@@ -15,7 +15,7 @@ from ..operators import reshape as R
 from ..operators.columns import clean_columns
 from ..operators.dedup import dedup_by_adaptation
 from ..operators.filters import filter_adaptation_type, filter_empty_rows
-from ..operators.stats import corpus_stats, stats_global
+from ..operators.stats import corpus_stats, observe_rows, stats_global
 from ..schema import CANONICAL, FINE_TUNING, INSTRUCTION_TUNING, ORDER, check_adaptation_type
 from ..sources.catalog import SourceRegistry, catalog_select, ingest_fanout, license_catalog
 from ..sources.files import read_table, scan_local_dispatch, scan_parquet, write_by_source, write_stats_csv, write_training_set
@@ -123,20 +123,35 @@ def build_sourced(
     out_root: str | None = None,
     make_commercial: bool = True,
     source: str | None = None,
+    report: dict | None = None,
 ) -> DataFrame:
     """Job 1: select (S1) and licence-filter (S2) the catalog, load every entry (S8), clean the
     columns of its adaptation type (T18), drop empty rows (F1/F2), union (U2) and write one
-    Parquet dataset per source (S9) when ``out_root`` is given."""
+    Parquet dataset per source (S9) when ``out_root`` is given.
+
+    With ``report`` (a dict) and ``out_root``, the row counts per source before and after the
+    empty-row filter (A9) are filled in from ``observe()`` metrics of the write itself.
+    """
     cat = license_catalog(catalog_select(catalog, source), make_commercial)
+    observations: list = []
 
     def finish(df: DataFrame, entry: dict) -> DataFrame:
         kind = check_adaptation_type(entry["adaptation_type"])
         cleaned = clean_columns(R.cast_null_columns(df), CLEAN_COLUMNS[kind])
-        return filter_empty_rows(cleaned, kind).select(*CANONICAL, ORDER)
+        if report is not None:
+            cleaned, before = observe_rows(cleaned, f"{entry['source']}:loaded")
+        kept = filter_empty_rows(cleaned, kind).select(*CANONICAL, ORDER)
+        if report is not None:
+            kept, after = observe_rows(kept, f"{entry['source']}:non_empty")
+            observations.append((entry["source"], before, after))
+        return kept
 
     corpus = ingest_fanout(spark, cat, registry, per_source=finish)
     if out_root:
         write_by_source(corpus, out_root)
+        if report is not None:
+            for name, before, after in observations:
+                report[name] = {"loaded": before.get["nb_rows"], "non_empty": after.get["nb_rows"]}
         return spark.read.parquet(out_root)
     return corpus
 

@@ -45,7 +45,9 @@ def test_build_dedup_stats(spark, tmp_dir):
         ],
     )
     reg = jobs.default_registry(lake, local)
-    sourced = jobs.build_sourced(spark, catalog, reg, out_root=f"{tmp_dir}/sourced", make_commercial=False)
+    report = {}
+    sourced = jobs.build_sourced(spark, catalog, reg, out_root=f"{tmp_dir}/sourced", make_commercial=False, report=report)
+    assert report["FRASIMED"] == {"loaded": 4, "non_empty": 3}  # A9 shapes from observe(), no extra pass
     counts = {r.source: r["count"] for r in sourced.groupBy("source").count().collect()}
     assert counts == {"FRASIMED": 3, "MQC": 1, "FRENCHMEDMCQA": 1, "DEFT2021": 1}
     mqc = sourced.where(F.col("source") == "MQC").first().input
