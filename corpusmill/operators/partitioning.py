@@ -11,13 +11,21 @@ SPREAD_BYTES_PER_CORE = 128 * 1024 * 1024
 TASKS_PER_CORE = 4
 
 
+_SIZES: dict[tuple[str, ...], int] = {}
+
+
 def input_bytes(df: DataFrame) -> int:
-    """Total size of the files behind ``df`` (listing only, no file body is read)."""
-    files = df.inputFiles()
+    """Total size of the files behind ``df`` (listing only, no file body is read).
+
+    Memoised per file list: the size only steers the spread decision, never a result.
+    """
+    files = tuple(sorted(df.inputFiles()))
     if not files:
         return 0
-    total = df.sparkSession.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
-    return int(total or 0)
+    if files not in _SIZES:
+        total = df.sparkSession.read.format("binaryFile").load(list(files)).agg(F.sum("length")).first()[0]
+        _SIZES[files] = int(total or 0)
+    return _SIZES[files]
 
 
 def spread(df: DataFrame, cores: int | None = None) -> DataFrame:

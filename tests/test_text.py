@@ -88,3 +88,13 @@ def test_split_lines_like_splitlines(spark):
 @pytest.mark.parametrize("n,expected", [(3, ""), (2, "a, b")])
 def test_word_check_min_parameter(spark, n, expected):
     assert _one(spark, lambda c: T.clean_text(c, word_check_min=n), ["a, b"]) == [expected]
+
+
+def test_clean_columns_by_type(spark):
+    from corpusmill.operators.columns import clean_columns
+
+    df = spark.createDataFrame([(bytearray("Le chat dort \xff".encode("latin-1")), "un deux trois", 3)], "b binary, s string, n int")
+    out = clean_columns(df, ["b", "s"]).first()
+    assert out.b == "Le chat dort " and out.s == "un deux trois"
+    with pytest.raises(TypeError):
+        clean_columns(df, ["n"])
