@@ -103,3 +103,13 @@ def test_catalog_yaml_select_and_license(spark, tmp_dir):
     assert [r.source for r in C.license_catalog(cat, True).collect()] == ["A"]
     with pytest.raises(RuntimeError):
         C.license_catalog(cat.where("source = 'B'"), True)
+
+
+def test_write_sized_gzip_byte_cap(spark, tmp_dir):
+    df = spark.range(2000).select(F.concat(F.lit("une ligne de texte numéro "), F.col("id").cast("string")).alias("text"))
+    out = os.path.join(tmp_dir, "bytes")
+    FS.write_sized_gzip(df.coalesce(1), out, max_bytes=8_000)
+    parts = [os.path.join(out, p) for p in os.listdir(out) if p.endswith(".gz")]
+    assert len(parts) >= 6
+    assert all(len(gzip.open(p).read()) <= 8_000 for p in parts)
+    assert spark.read.text(out).count() == 2000
