@@ -163,14 +163,26 @@ def deduplicate(
     adaptation_type: str,
     make_commercial: bool = True,
     out_root: str | None = None,
+    report: dict | None = None,
 ) -> DataFrame:
     """Job 2: sources of the adaptation type (F3) and licence (S2), deduplicated when fine-tuning (D7),
-    shuffled with the fixed seed (O1), written as the training set (S10) when ``out_root`` is given."""
+    shuffled with the fixed seed (O1), written as the training set (S10) when ``out_root`` is given.
+
+    With ``report`` and ``out_root``, the rows going in and coming out (A9) are filled in from
+    ``observe()`` metrics of the passes that run anyway.
+    """
     cat = license_catalog(catalog, make_commercial)
     rows = filter_adaptation_type(sourced, cat, adaptation_type)
+    if report is not None:
+        rows, seen_in = observe_rows(rows, "dedup:input")
     out = dedup_by_adaptation(rows, adaptation_type)
     if out_root:
+        if report is not None:
+            out, seen_out = observe_rows(out, "dedup:output")
         path = write_training_set(out, out_root, make_commercial, adaptation_type)
+        if report is not None:
+            report["input"] = seen_in.get["nb_rows"]
+            report["output"] = seen_out.get["nb_rows"]
         return spark.read.parquet(path)
     return out
 

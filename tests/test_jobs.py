@@ -56,7 +56,9 @@ def test_build_dedup_stats(spark, tmp_dir):
     commercial = jobs.build_sourced(spark, catalog, reg, make_commercial=True)
     assert "MQC" not in {r.source for r in commercial.select("source").distinct().collect()}
 
-    ft = jobs.deduplicate(spark, sourced, catalog, "fine-tuning", make_commercial=False, out_root=f"{tmp_dir}/train")
+    shapes = {}
+    ft = jobs.deduplicate(spark, sourced, catalog, "fine-tuning", make_commercial=False, out_root=f"{tmp_dir}/train", report=shapes)
+    assert shapes == {"input": 5, "output": 3}
     got = sorted(r.source for r in ft.collect())
     # exact duplicate and near duplicate of the first case are dropped
     assert got == ["DEFT2021", "FRASIMED", "MQC"]
