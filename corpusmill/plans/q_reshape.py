@@ -318,3 +318,21 @@ def q_union_sources(spark, sf_dir):
     b = R.canonical_projection(d.where(F.col("lang") != "en"), F.col("source"), None, "train", "text", order="doc_id")
     b = b.select("input", "source", ORDER, "source_split", "data_dir", "output", "instruction")
     return a.unionByName(b)
+
+
+@register(
+    "dedup_by_adaptation_instruction",
+    "D7",
+    lambda: (
+        f"SELECT item_id, instruction, input, output, md5('42|' || item_id) AS shuffle_key FROM ({_clean_columns_sql()}) AS c "
+        f"WHERE NOT {S.is_blank('instruction')} AND NOT {S.is_blank('input')} AND NOT {S.is_blank('output')}"
+    ),
+)
+def q_dedup_by_adaptation_instruction(spark, sf_dir):
+    """Instruction-tuning rows (cleaned question bank without empty triplets) pass D7 unchanged and
+    are shuffled with the fixed seed."""
+    from ..operators.dedup import dedup_by_adaptation, shuffle_key
+
+    rows = FL.filter_nonempty_triplet(_clean_columns(spark, sf_dir)).withColumnRenamed("item_id", ORDER)
+    out = dedup_by_adaptation(rows, "instruction-tuning", order=ORDER)
+    return out.select(F.col(ORDER).alias("item_id"), "instruction", "input", "output", shuffle_key(ORDER).alias("shuffle_key"))
