@@ -43,3 +43,15 @@ def test_stats_with_total_is_one_pass(spark):
 def test_exact_dedup_aggregates_partially_before_the_shuffle(spark):
     plan = _plan(D.dedup_exact(_docs(spark)))
     assert "partial_min_by" in plan and plan.count("Exchange (") == 1
+
+
+def test_spread_only_small_narrow_inputs(spark, monkeypatch):
+    from corpusmill.operators import partitioning as PT
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    assert "RoundRobinPartitioning" in _plan(PT.spread(docs, cores=8))
+    # a large cluster does not make a large input eligible: the absolute ceiling applies
+    monkeypatch.setattr(PT, "input_bytes", lambda df: 100 * 1024 ** 3)
+    assert "RoundRobinPartitioning" not in _plan(PT.spread(docs, cores=8000))
+    # one file per core or more: the scan already has the splits
+    assert PT.spread(docs, cores=1) is docs
