@@ -141,11 +141,11 @@ class WordBpe:
             self.cache = {}
         for t in self.added:
             self.cache.setdefault(t, (np.array([self.added[t]], "<u4").tobytes(), t))
-        for text in texts:
-            pieces = self.pieces(text or "")
-            new = set(pieces).difference(self.cache)
-            if new:
-                self._learn(new)
+        cut = [self.pieces(text or "") for text in texts]
+        new = set().union(*cut).difference(self.cache)
+        if new:
+            self._learn(new)
+        for pieces in cut:
             got = list(map(self.cache.__getitem__, pieces))
             out.append((b"".join([g[0] for g in got]), " ".join([g[1] for g in got if g[1]])))
         return out
