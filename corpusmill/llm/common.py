@@ -62,3 +62,13 @@ def number_rows(df: DataFrame, order: list[str], group: list[str], out: str, n_r
 
 def utf8_len(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+
+
+def share(spark: SparkSession, value):
+    """Broadcast ``value`` pickled by value, so that workers need no copy of this package; returns a loader."""
+    import pickle
+
+    from pyspark import cloudpickle
+
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, stage
+from .common import id_text, share, stage
 
 WORD_BITS, PAIR_BITS = 16, 20
 STRENGTH = 32.0  # weight of the unigram in the smoothed bigram
@@ -112,10 +112,10 @@ def train(docs: DataFrame, wanted: DataFrame) -> tuple[Model, Model]:
 
 def score_documents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``doc_id``, ``n_tokens`` (long), ``target_loss``, ``background_loss`` (mean nats a token), ``score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, wanted))
+    shared = share(docs.sparkSession, train(docs, wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (target, background), classes = shared.value, Classes()
+        (target, background), classes = shared(), Classes()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text
+from .common import id_text, share
 
 EXAMPLES, TERMS, NEAREST, BLOCK, THRESHOLD = 20_000, 2_000, 15, 64, 0.7
 MIN_CHI2 = 30.0
@@ -221,10 +221,10 @@ def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: i
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted``, ``neighbours`` and ``toxic_neighbours`` (int)."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    shared = share(docs.sparkSession, train(docs, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = shared.value
+        scorer = shared()
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
@@ -241,10 +241,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents, all columns kept, that are not predicted toxic. Rows without an id are scored like others."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    shared = share(docs.sparkSession, train(docs, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = shared.value
+        scorer = shared()
         for b in batches:
             texts = b.column(b.schema.get_field_index("text")).to_pylist()
             yield b.filter(pa.array([scorer.score(t)[0] < threshold for t in texts], pa.bool_()))

@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import id_text
+from .common import id_text, share
 
 #: Pieces whose encoding one Python worker keeps between batches; beyond it the memory is emptied.
 CACHE_PIECES = 250_000
@@ -176,10 +176,10 @@ def _texts(batch: pa.RecordBatch, col: str, size: int = 256) -> Iterator[tuple[i
 def encode_documents(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     """``doc_id``, ``n_tokens`` (long), ``ids_sha256``, ``decoded_sha256``; with ``with_ids`` also ``ids``
     (array of int) and ``decoded`` (string). ``path`` is the vocabulary file, read on the driver only."""
-    shared = docs.sparkSession.sparkContext.broadcast(load(path))
+    shared = share(docs.sparkSession, load(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = shared.value
+        bpe = shared()
         for batch in batches:
             ids = batch.column(0)
             for at, texts in _texts(batch, "text"):
