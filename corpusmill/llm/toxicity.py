@@ -25,9 +25,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, share
+from .common import id_text, share, stage
 
-EXAMPLES, TERMS, NEAREST, BLOCK, THRESHOLD = 20_000, 2_000, 15, 64, 0.7
+EXAMPLES, TERMS, NEAREST, BLOCK, THRESHOLD = 8_000, 2_000, 15, 64, 0.7
 MIN_CHI2 = 30.0
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -71,35 +71,42 @@ class BlockMaxIndex:
                 self.top[t, i // block] = max(self.top[t, i // block], w)
         self.ids = [np.array([i for i, _ in x], dtype=np.int64) for x in lists]
         self.weights = [np.array([w for _, w in x]) for x in lists]
-        self.starts = [np.searchsorted(x, np.arange(0, (n_blocks + 1) * block, block)) for x in self.ids]
+        self.blocks = [x // block for x in self.ids]
 
     def nearest(self, query: dict[int, float], k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` examples of largest inner product above zero: (numbers, products), exact."""
+        """The ``k`` examples of largest inner product above zero: (numbers, products), exact.
+
+        The blocks of the highest bounds give a first threshold; then every other block whose bound reaches it.
+        """
         terms = list(query)
         if not terms or not self.n:
             return np.empty(0, np.int64), np.empty(0)
         bound = np.array([query[t] for t in terms]) @ self.top[terms]
-        order = np.argsort(-bound, kind="stable")
-        ids, scores, least = np.empty(0, np.int64), np.empty(0), 0.0
-        at, step = 0, 4
-        while at < len(order) and bound[order[at]] > 0 and (len(ids) < k or bound[order[at]] >= least):
-            take = order[at : at + step]
-            acc = np.zeros((len(take), self.block))
-            for t in terms:
-                s, q = self.starts[t], query[t]
-                for row, b in enumerate(take.tolist()):
-                    i, j = s[b], s[b + 1]
-                    if j > i:
-                        acc[row, self.ids[t][i:j] - b * self.block] += q * self.weights[t][i:j]
-            found = np.flatnonzero(acc.ravel() > 0)
-            ids = np.concatenate([ids, take[found // self.block] * self.block + found % self.block])
-            scores = np.concatenate([scores, acc.ravel()[found]])
+        few = max(4, 2 * -(-k // self.block))
+        first = np.zeros(len(bound), dtype=bool)
+        first[np.argpartition(-bound, min(few, len(bound)) - 1)[:few]] = True
+        ids, scores = self._best(query, terms, first & (bound > 0), k)
+        rest = ~first & (bound > 0)
+        if len(ids) == k:
+            rest &= bound >= scores[-1]
+        if rest.any():
+            more = self._best(query, terms, rest, k)
+            ids, scores = np.concatenate([ids, more[0]]), np.concatenate([scores, more[1]])
             keep = np.lexsort((ids, -scores))[:k]
             ids, scores = ids[keep], scores[keep]
-            least = scores[-1] if len(scores) == k else 0.0
-            at, step = at + step, step * 2
         return ids, scores
 
+    def _best(self, query: dict[int, float], terms: list[int], wanted: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        acc = np.zeros(self.n)
+        for t in terms:
+            use = wanted[self.blocks[t]]
+            acc[self.ids[t][use]] += query[t] * self.weights[t][use]
+        found = np.flatnonzero(acc > 0)
+        if len(found) > k:  # ties at the edge stay for the order below
+            found = found[acc[found] >= np.partition(acc[found], -k)[-k]]
+        keep = np.lexsort((found, -acc[found]))[:k]
+        return found[keep], acc[found[keep]]
+
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Steps of the best non-decreasing fit of ``y`` on ``x`` (pool adjacent violators)."""
@@ -165,7 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: i
         "doc_id IS NOT NULL AND toxic IS NOT NULL"
     ).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(fold(F.col("doc_id")) != 1)
     picked = marks.join(id_text(docs).select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id")).limit(2 * examples)
-    rows = id_text(docs).join(picked, "doc_id").dropDuplicates(["doc_id"])
+    rows = stage(id_text(docs).join(picked, "doc_id").dropDuplicates(["doc_id"]), "toxicity-examples")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
