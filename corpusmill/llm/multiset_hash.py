@@ -83,7 +83,7 @@ def fingerprint_edits(docs: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     cuts = sorted(set(src.select(F.percentile_approx("doc_id", steps, 10 * parts + 100)).first()[0] or [])) if steps else []
     edges = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")
     # part 0 has the largest ids; NULL ids belong to the last part
-    part = F.coalesce(F.size(F.filter(edges, lambda c: c > F.col("doc_id"))), F.lit(len(cuts)))
+    part = F.when(F.col("doc_id").isNull(), F.lit(len(cuts))).otherwise(F.size(F.filter(edges, lambda c: c > F.col("doc_id"))))
     src = src.withColumn("part", part)
     heads = src.groupBy("part").agg(F.min(F.struct("place", F.crc32(F.encode("text", "UTF-8")).alias("c"), F.length("text").alias("l"))).alias("h"))
     heads = sorted((r["part"], r["h"]["place"], r["h"]["c"], r["h"]["l"]) for r in heads.collect())  # one row a part
