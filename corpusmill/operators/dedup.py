@@ -187,52 +187,17 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-# Below this many undecided (row, band) entries the remaining rounds are replaced by one exact
-# sequential scan in a single task (a checked, bounded input: ~100 bytes per entry).
-FINISH_BELOW = 2_000_000
-
-
-def _sequential_scan(pdf):
-    """Exact greedy scan of a small remainder: rows in rank order, a row is kept unless one of its
-    bucket keys was claimed by an earlier kept row; returns the dropped ranks."""
-    import pandas as pd
-
-    claimed: set = set()
-    dropped = []
-    for rank, grp in pdf.sort_values("__rank").groupby("__rank", sort=True):
-        keys = set(zip(grp["band"].tolist(), grp["key"].tolist()))
-        if claimed.isdisjoint(keys):
-            claimed.update(keys)
-        else:
-            dropped.append(rank)
-    return pd.DataFrame({"__rank": pd.Series(dropped, dtype="int64")})
-
-
-def _finish_sequential(state: DataFrame, order: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    ranks = state.select(order).distinct().withColumn("__rank", F.row_number().over(Window.orderBy(order)).cast("bigint"))
-    ranked = state.join(ranks, order).select("__rank", "band", F.hex("key").alias("key"))
-    dropped = ranked.groupBy(F.lit(0).alias("__g")).applyInPandas(
-        lambda pdf: _sequential_scan(pdf[["__rank", "band", "key"]]), "__rank long"
-    )
-    return dropped.join(ranks, "__rank").select(order)
-
-
 def greedy_dropped(
     bands: DataFrame,
     order: str = ORDER,
     max_rounds: int | None = None,
-    finish_below: int = FINISH_BELOW,
 ) -> tuple[DataFrame, int]:
     """Orders dropped by the greedy scan, given ``(order, band, key)`` rows. Returns (dropped, rounds).
 
     Exact for any input: each round decides at least the earliest undecided row. Bucket minima
     are partial aggregates and the joins back to the bucket members are shuffle joins, so a
     bucket holding a large share of the corpus is split by AQE's skew-join handling instead of
-    landing in one task. Once the counted state is at most ``finish_below`` entries, the rest
-    is one exact sequential scan, which bounds the number of rounds that long near-duplicate
-    chains would otherwise need.
+    landing in one task. The number of rounds follows the longest chain of near-duplicates.
     """
     spark = bands.sparkSession
     # The band rows feed both the bucket sizes and the join below: materialise them once, so the
@@ -247,10 +212,6 @@ def greedy_dropped(
         remaining = state.count()
         if remaining == 0:
             break
-        if remaining <= finish_below:
-            dropped_parts.append(_checkpoint(_finish_sequential(state, order)))
-            rounds += 1
-            break
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError(f"near-dedup did not settle within {max_rounds} rounds")

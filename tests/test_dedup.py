@@ -32,33 +32,31 @@ def test_greedy_fixpoint_equals_sequential_scan(spark):
         for o in range(n):
             keys = {(b, f"k{rng.randint(0, 12)}") for b in range(3)}
             rows.append((o * 3 + trial, keys))
-        # rounds only (finish_below=0), and rounds finished by the bounded sequential scan
-        for finish_below in (0, 40):
-            dropped, rounds = D.greedy_dropped(_bands_frame(spark, rows), finish_below=finish_below)
-            dropped_set = {r[0] for r in dropped.collect()}
-            kept = sorted(o for o, _ in rows if o not in dropped_set)
-            assert kept == brute_greedy(rows), f"trial {trial} finish_below {finish_below}"
-            assert rounds >= 1
+        dropped, rounds = D.greedy_dropped(_bands_frame(spark, rows))
+        dropped_set = {r[0] for r in dropped.collect()}
+        kept = sorted(o for o, _ in rows if o not in dropped_set)
+        assert kept == brute_greedy(rows), f"trial {trial}"
+        assert rounds >= 1
 
 
-def test_long_chain_is_finished_by_the_bounded_scan(spark):
+def test_long_chain_by_rounds(spark):
     # edge i~i+1 is bucket (i % 2, "e<i>"): each row sits in two buckets (one per band), a path of 300
-    for n, finish_below in ((300, 10_000), (40, 0)):
+    for n in (300, 40):
         chain = [(i, {((i - 1) % 2, f"e{i - 1}"), (i % 2, f"e{i}")}) for i in range(n)]
-        dropped, rounds = D.greedy_dropped(_bands_frame(spark, chain), finish_below=finish_below)
+        dropped, rounds = D.greedy_dropped(_bands_frame(spark, chain))
         kept = sorted(set(range(n)) - {r[0] for r in dropped.collect()})
         assert kept == brute_greedy(chain) == list(range(0, n, 2))
-        assert rounds == (1 if finish_below else n // 2)
+        assert rounds == n // 2
 
 
 def test_greedy_chain_and_hot_bucket(spark):
     # chain a-b-c-d: greedy keeps a and c (not connected components, which would keep only a)
     chain = [(1, {(0, "x")}), (2, {(0, "x"), (1, "y")}), (3, {(1, "y"), (2, "z")}), (4, {(2, "z")})]
-    dropped, _ = D.greedy_dropped(_bands_frame(spark, chain), finish_below=0)
+    dropped, _ = D.greedy_dropped(_bands_frame(spark, chain))
     assert sorted(r[0] for r in dropped.collect()) == [2, 4]
     # one bucket holding most rows is settled in one round without pairs
     hot = [(o, {(0, "hot")}) for o in range(200)] + [(1000, {(0, "solo")})]
-    dropped, rounds = D.greedy_dropped(_bands_frame(spark, hot), finish_below=0)
+    dropped, rounds = D.greedy_dropped(_bands_frame(spark, hot))
     assert dropped.count() == 199 and rounds == 1
 
 
