@@ -15,13 +15,12 @@ left out; with no labels every score is 0; with equal cosine the earlier example
 
 from __future__ import annotations
 
-import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,32 +28,54 @@ from .common import id_text, share, stage
 
 EXAMPLES, TERMS, NEAREST, BLOCK, THRESHOLD = 8_000, 2_000, 15, 64, 0.7
 MIN_CHI2 = 30.0
-WORD = re.compile(r"[^\W\d_]+")
+NOT_LETTERS = r"[^\pL]+"
+ROWS = 512  # texts handled at once
 
 
-def features(word: str) -> list[str]:
-    """A word's terms; beginnings carry a mark so that they are no words."""
-    return [word, *("^" + word[:n] for n in (4, 5) if len(word) >= n)]
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Of every word in order: the number of its text and the number of the word; and the distinct words."""
+    lists = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts, "")), NOT_LETTERS)
+    row = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    coded = lists.flatten().dictionary_encode()
+    return row, coded.indices.to_numpy(), coded.dictionary
+
+
+def forms(words: pa.Array) -> list[pa.Array]:
+    """The terms that words stand for: each word, and its 4- and 5-letter beginnings, which carry a mark so
+    that they are no words. NULL where a word is too short."""
+    size = pc.utf8_length(words)
+    none = pa.scalar(None, pa.string())
+    out = [pc.if_else(pc.greater(size, 0), words, none)]
+    for n in (4, 5):
+        marked = pc.binary_join_element_wise(pa.scalar("^"), pc.utf8_slice_codeunits(words, 0, n), "")
+        out.append(pc.if_else(pc.greater_equal(size, n), marked, none))
+    return out
 
 
 class Terms:
-    """Counts chosen terms of a text; remembers which words carry any."""
-
-    def __init__(self, number: dict[str, int]):
-        self.number, self.known = number, {}
-
-    def __call__(self, text: str | None) -> Counter:
-        words = Counter(WORD.findall((text or "").lower()))
-        if len(self.known) > 300_000:
-            self.known = {}
-        out: Counter = Counter()
-        for w, n in words.items():
-            at = self.known.get(w)
-            if at is None:
-                at = self.known[w] = [self.number[f] for f in features(w) if f in self.number]
-            for t in at:
-                out[t] += n
-        return out
+    """Counts chosen terms of texts."""
+
+    def __init__(self, names: list[str]):
+        self.names, self.n = pa.array(names, pa.string()), len(names)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the text, number of the term, and count; in this order, each pair once."""
+        row, word, words = words_of(texts)
+        rows, terms = [], []
+        for form in forms(words):
+            at = pc.fill_null(pc.index_in(form, value_set=self.names), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+            hit = at[word]
+            rows.append(row[hit >= 0])
+            terms.append(hit[hit >= 0])
+        key, n = np.unique(np.concatenate(rows) * self.n + np.concatenate(terms), return_counts=True) if self.n else (np.empty(0, np.int64),) * 2
+        return key // max(1, self.n), key % max(1, self.n), n
+
+    def each(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Terms and counts of each text."""
+        row, term, n = self(texts)
+        at = np.searchsorted(row, np.arange(len(texts) + 1))
+        for a, b in zip(at[:-1], at[1:]):
+            yield term[a:b], n[a:b]
 
 
 class BlockMaxIndex:
@@ -123,8 +144,8 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Scorer:
-    def __init__(self, number: dict[str, int], idf: np.ndarray, examples: list[tuple[Counter, int]], held: list[tuple[Counter, int]], nearest: int):
-        self.terms, self.idf, self.k = Terms(number), idf, nearest
+    def __init__(self, names: list[str], idf: np.ndarray, examples: list[tuple[dict, int]], held: list[tuple[dict, int]], nearest: int):
+        self.terms, self.idf, self.k = Terms(names), idf, nearest
         seen = sorted(((self.unit(c), y) for c, y in examples if c), key=lambda e: (max(e[0], key=e[0].get), e[1]))
         self.index = BlockMaxIndex([v for v, _ in seen], len(idf))
         self.labels = np.array([y for _, y in seen], dtype=float)
@@ -134,28 +155,32 @@ class Scorer:
         none = [y for c, y in [*examples, *held] if not c]
         self.base = float(sum(none)) / (len(none) + 1.0)
 
-    def unit(self, counts: Counter) -> dict[int, float]:
+    def unit(self, counts: dict) -> dict[int, float]:
         w = {t: (1.0 + np.log(n)) * self.idf[t] for t, n in counts.items()}
         norm = np.sqrt(sum(x * x for x in w.values()))
         return {t: float(x / norm) for t, x in w.items()}
 
-    def vote(self, counts: Counter) -> tuple[float, np.ndarray, np.ndarray]:
+    def vote(self, counts: dict) -> tuple[float, np.ndarray, np.ndarray]:
         ids, near = self.index.nearest(self.unit(counts), self.k)
         if not len(ids):
             return 0.0, ids, near
         w = 1.0 / (1.05 - np.minimum(near, 1.0))
         return float(w @ self.labels[ids] / w.sum()), ids, near
 
-    def score(self, text: str | None) -> tuple[float, int, int]:
-        """Calibrated score, number of neighbours, and how many of them are toxic (the evidence)."""
-        counts = self.terms(text)
-        if not counts:
-            return self.base, 0, 0
-        key = frozenset(counts.items())
+    def score(self, texts: pa.Array) -> list[tuple[float, int, int]]:
+        """Of each text: calibrated score, number of neighbours, and how many of them are toxic (the evidence)."""
+        out = []
+        for at in range(0, len(texts), ROWS):
+            for t, n in self.terms.each(texts.slice(at, ROWS)):
+                out.append(self._score(t, n) if len(t) else (self.base, 0, 0))
+        return out
+
+    def _score(self, t: np.ndarray, n: np.ndarray) -> tuple[float, int, int]:
+        key = t.tobytes() + n.tobytes()
         if key not in self.cache:
             if len(self.cache) > 50_000:
                 self.cache = {}
-            vote, ids, _ = self.vote(counts)
+            vote, ids, _ = self.vote(dict(zip(t.tolist(), n.tolist())))
             x, y = self.steps
             score = float(y[max(0, np.searchsorted(x, vote, side="right") - 1)])
             self.cache[key] = (score, len(ids), int(self.labels[ids].sum()))
@@ -174,56 +199,63 @@ def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: i
     picked = marks.join(id_text(docs).select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id")).limit(2 * examples)
     rows = stage(id_text(docs).join(picked, "doc_id").dropDuplicates(["doc_id"]), "toxicity-examples")
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each term of some rows: how many of them, and how many toxic ones, hold it."""
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                found = [Counter(WORD.findall((t or "").lower())) for t in part.column(2).to_pylist()]
-                out = [[f for w in c for f in features(w)] for c in found]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([sorted(set(o)) for o in out], pa.list_(pa.string()))], names=["doc_id", "toxic", "terms"])
+            for at in range(0, b.num_rows, ROWS):
+                part = b.slice(at, ROWS)
+                toxic = part.column(0).to_numpy()
+                row, word, words = words_of(part.column(1))
+                for form in forms(words):
+                    coded = form.dictionary_encode()
+                    term = pc.fill_null(coded.indices, -1).to_numpy().astype(np.int64)[word]
+                    size = len(coded.dictionary)
+                    pair = np.unique(row[term >= 0] * max(1, size) + term[term >= 0])
+                    n = np.bincount(pair % max(1, size), minlength=size)
+                    a = np.bincount(pair % max(1, size), weights=toxic[pair // max(1, size)], minlength=size)
+                    yield pa.RecordBatch.from_arrays([coded.dictionary, pa.array(a), pa.array(n.astype(np.float64))], names=["term", "a", "n"])
 
-    bags = rows.select("doc_id", "toxic", "text").mapInArrow(words, "doc_id long, toxic int, terms array<string>")
     totals = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n1, n0 = float(totals.get(1, 0)), float(totals.get(0, 0))
     if not n1 or not n0:
-        return Scorer({}, np.zeros(0), [], [], nearest)
-    seen = bags.select(F.explode("terms").alias("term"), "toxic").groupBy("term").agg(F.sum("toxic").cast("double").alias("a"), F.count(F.lit(1)).cast("double").alias("n"))
+        return Scorer([], np.zeros(0), [], [], nearest)
+    seen = rows.select("toxic", "text").mapInArrow(bags, "term string, a double, n double").groupBy("term").agg(F.sum("a").alias("a"), F.sum("n").alias("n"))
     a, b = F.col("a"), F.col("n") - F.col("a")
     c, d = n1 - a, n0 - b
     chi2 = (n1 + n0) * (a * d - b * c) ** 2 / (n1 * n0 * F.col("n") * (n1 + n0 - F.col("n")) + 1e-9)
     chosen = seen.withColumn("chi2", chi2).where((F.col("chi2") >= MIN_CHI2) & (a / n1 > b / n0)).orderBy(F.desc("chi2"), "term").limit(terms)
-    number = {r["term"]: i for i, r in enumerate(chosen.select("term").collect())}
-    if not number:
-        return Scorer({}, np.zeros(0), [], [], nearest)
+    names = [r["term"] for r in chosen.select("term").collect()]
+    if not names:
+        return Scorer([], np.zeros(0), [], [], nearest)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Terms(number)
+        counter = Terms(names)
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                got = [counter(t) for t in part.column(2).to_pylist()]
+            for at in range(0, b.num_rows, ROWS):
+                part = b.slice(at, ROWS)
+                t, n = zip(*counter.each(part.column(2)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([list(g) for g in got], pa.list_(pa.int32())), pa.array([list(g.values()) for g in got], pa.list_(pa.int32()))],
+                    [part.column(0), part.column(1), pa.array(t, pa.list_(pa.int64())), pa.array(n, pa.list_(pa.int64()))],
                     names=["doc_id", "toxic", "t", "n"],
                 )
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, df, n = Terms(number), np.zeros(len(number), dtype=np.int64), 0
+        counter, df, n = Terms(names), np.zeros(len(names), dtype=np.int64), 0
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                for text in b.column(0).slice(at, 512).to_pylist():
-                    df[list(counter(text))] += 1
-                    n += 1
+            for at in range(0, b.num_rows, ROWS):
+                texts = b.column(0).slice(at, ROWS)
+                df += np.bincount(counter(texts)[1], minlength=len(names))
+                n += len(texts)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(df))), pa.array(np.concatenate([[n], df]))], names=["t", "n"])
 
     counts = dict(id_text(docs).select("text").mapInArrow(frequencies, "t long, n long").groupBy("t").agg(F.sum("n")).collect())
-    idf = np.array([np.log((1.0 + counts.get(-1, 0)) / (1.0 + counts.get(i, 0))) + 1.0 for i in range(len(number))])
-    table = rows.select("doc_id", "toxic", "text").mapInArrow(vectors, "doc_id long, toxic int, t array<int>, n array<int>").toArrow().to_pylist()
+    idf = np.array([np.log((1.0 + counts.get(-1, 0)) / (1.0 + counts.get(i, 0))) + 1.0 for i in range(len(names))])
+    table = rows.select("doc_id", "toxic", "text").mapInArrow(vectors, "doc_id long, toxic int, t array<long>, n array<long>").toArrow().to_pylist()
     table.sort(key=lambda r: r["doc_id"])
     sets: tuple[list, list] = ([], [])
     for r in table:
-        sets[zlib.crc32(str(r["doc_id"]).encode()) % 3 == 2].append((Counter(dict(zip(r["t"], r["n"]))), r["toxic"]))
-    return Scorer(number, idf, sets[0], sets[1], nearest)
+        sets[zlib.crc32(str(r["doc_id"]).encode()) % 3 == 2].append((dict(zip(r["t"], r["n"])), r["toxic"]))
+    return Scorer(names, idf, sets[0], sets[1], nearest)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -233,11 +265,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = shared()
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                got = [scorer.score(t) for t in part.column(1).to_pylist()]
-                s, n, m = zip(*got)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(s, pa.float64()), pa.array(n, pa.int32()), pa.array(m, pa.int32())], names=["doc_id", "score", "neighbours", "toxic_neighbours"])
+            if b.num_rows:
+                s, n, m = zip(*scorer.score(b.column(1)))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64()), pa.array(n, pa.int32()), pa.array(m, pa.int32())], names=["doc_id", "score", "neighbours", "toxic_neighbours"])
 
     scored = id_text(docs).mapInArrow(run, "doc_id long, score double, neighbours int, toxic_neighbours int")
     return scored.select(
@@ -253,7 +283,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = shared()
         for b in batches:
-            texts = b.column(b.schema.get_field_index("text")).to_pylist()
-            yield b.filter(pa.array([scorer.score(t)[0] < threshold for t in texts], pa.bool_()))
+            texts = b.column(b.schema.get_field_index("text"))
+            yield b.filter(pa.array([s < threshold for s, _, _ in scorer.score(texts)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
