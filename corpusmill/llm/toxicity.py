@@ -197,7 +197,7 @@ def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: i
         "doc_id IS NOT NULL AND toxic IS NOT NULL"
     ).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(fold(F.col("doc_id")) != 1)
     picked = marks.join(id_text(docs).select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id")).limit(2 * examples)
-    rows = stage(id_text(docs).join(picked, "doc_id").dropDuplicates(["doc_id"]), "toxicity-examples")
+    rows = stage(id_text(docs).join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"]), "toxicity-examples")
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of each term of some rows: how many of them, and how many toxic ones, hold it."""
