@@ -8,8 +8,12 @@ most significant digit down, and a suffix that is alone after a pass leaves:
    row for a run of suffixes, not one each.
 2. Runs that share the piece are split by the hash of all the bytes they cover. Runs equal in it are repeated
    as a whole.
-3. Where a piece occurs with different surroundings, one run of each kind is expanded to its suffixes, which
-   are grouped at full depth; groups of two or more are exactly the repeated windows.
+3. Where a piece occurs with different surroundings, one run of each kind is cut into parts of ``PART``
+   neighbouring suffixes, at fixed distances from the piece, so that equal windows fall into equal parts. The
+   digit is now the bytes that all suffixes of a part share; parts alone in it leave, and parts whose group
+   agrees in all the bytes they cover are repeated as a whole.
+4. Only the suffixes of the parts that are left are grouped at full depth; groups of two or more are exactly the
+   repeated windows.
 
 Keys are 64-bit hashes compared only among suffixes that already share the 64-bit hash of the piece. Counts are
 aggregated before the shuffles, so a passage that a third of the documents share stays a partial count.
@@ -34,6 +38,7 @@ from .common import id_text, stage, unstage, without
 
 WINDOW = 200
 PIECES = 128  # pieces a window holds; a power of two
+PART = 16  # suffixes a part holds
 STRETCH = 1 << 21  # bytes hashed at once
 _BASE = 0x9E3779B97F4A7C15
 _TABLE = np.random.default_rng(4).integers(0, 1 << 62, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -116,7 +121,7 @@ def _runs(window: int):
             context = rolling.ranges(prefix, begin, begin + n - 1 + window)
             context = _mix(context ^ _mix((x - begin).astype(np.uint64) * np.uint64(512) + n.astype(np.uint64)))
             p = part[first]
-            yield number[p], h[x].view(np.int64), context.view(np.int64), begin - bounds[p] + offset[p], n
+            yield number[p], h[x].view(np.int64), context.view(np.int64), begin - bounds[p] + offset[p], n, x - begin
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling(STRETCH + 1)
@@ -125,37 +130,49 @@ def _runs(window: int):
                 part = b.slice(at, 512)
                 key, mark = part.column(0).to_numpy(), part.column(1).to_numpy()
                 texts = [(t or "").encode("utf-8", "surrogatepass") for t in part.column(2).to_pylist()]
-                for i, g, c, p, n in of(texts, rolling):
-                    yield pa.RecordBatch.from_arrays([pa.array(key[i]), pa.array(mark[i]), pa.array(g), pa.array(c), pa.array(p.astype(np.int64)), pa.array(n.astype(np.int32))], names=["key", "mark", "g", "c", "p", "n"])
+                for i, g, c, p, n, o in of(texts, rolling):
+                    yield pa.RecordBatch.from_arrays([pa.array(key[i]), pa.array(mark[i]), pa.array(g), pa.array(c), pa.array(p.astype(np.int64)), pa.array(n.astype(np.int32)), pa.array(o.astype(np.int32))], names=["key", "mark", "g", "c", "p", "n", "o"])
 
     return run
 
 
-def _expand(window: int):
-    """Full-depth keys of the suffixes of picked runs."""
+def _parts(window: int):
+    """Parts of picked runs: the digit ``k`` that their suffixes share, the hash ``v`` of all bytes covered, the
+    first suffix ``p``, their number ``n`` and their full-depth keys ``w`` in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[list[np.ndarray]] = [[], [], [], [], []]
-            for text, runs in zip(b.column(0).to_pylist(), b.column(1)):
+            for key, mark, text, runs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3)):
                 data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
                 runs = runs.values
-                g, c, p, n, m = (runs.field(k).to_numpy() for k in ("g", "c", "p", "n", "m"))
+                all_p = runs.field("p").to_numpy()
                 for lo in range(0, len(data), STRETCH - 2 * window):
-                    mine = (p >= lo) & (p < lo + STRETCH - 2 * window)
-                    if not mine.any():
+                    mine = np.flatnonzero((all_p >= lo) & (all_p < lo + STRETCH - 2 * window))
+                    if not len(mine):
                         continue
-                    part = data[lo : lo + STRETCH]
-                    rolling = Rolling(len(part) + 1)
-                    prefix = rolling.prefix(part)
-                    which = np.repeat(np.flatnonzero(mine), n[mine])
-                    step = np.arange(len(which)) - np.repeat(np.cumsum(n[mine]) - n[mine], n[mine])
-                    start = p[which] - lo + step
-                    w = rolling.ranges(prefix, start, start + window)
-                    for o, v in zip(out, (g[which], c[which], step.astype(np.int32), w.view(np.int64), m[which])):
-                        o.append(v)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], names=["g", "c", "i", "w", "m"])
+                    g, p, n, o, m = (runs.field(c).to_numpy()[mine] for c in ("g", "p", "n", "o", "m"))
+                    rolling = Rolling(min(len(data) - lo, STRETCH) + 1)
+                    prefix = rolling.prefix(data[lo : lo + STRETCH])
+                    # a suffix that starts l bytes before the piece belongs to part l // PART
+                    first, last = (o - n + 1) // PART, o // PART
+                    count = last - first + 1
+                    r = np.repeat(np.arange(len(mine)), count)
+                    q = first[r] + np.arange(len(r)) - np.repeat(np.cumsum(count) - count, count)
+                    near, far = np.maximum(o[r] - n[r] + 1, q * PART), np.minimum(o[r], q * PART + PART - 1)
+                    piece = p[r] + o[r] - lo
+                    k = rolling.ranges(prefix, piece - q * PART, piece - q * PART - PART + 1 + window)
+                    v = rolling.ranges(prefix, piece - far, piece - near + window)
+                    k, v = _mix(k + q.astype(np.uint64)), _mix(v ^ _mix((near * 512 + far).astype(np.uint64)))
+                    size = far - near + 1
+                    ends = np.cumsum(size)
+                    start = np.repeat(piece - far - ends + size, size) + np.arange(ends[-1])
+                    w = rolling.ranges(prefix, start, start + window).view(np.int64)
+                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(w))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([key] * len(r), pa.int64()), pa.array([mark] * len(r), pa.int64()), pa.array(g[r]), pa.array(k.view(np.int64)), pa.array(v.view(np.int64)),
+                         pa.array(piece - far + lo), pa.array(size.astype(np.int32)), pa.array(m[r] == 1), lists],
+                        names=["key", "mark", "g", "k", "v", "p", "n", "alone", "w"],
+                    )
 
     return run
 
@@ -163,21 +180,26 @@ def _expand(window: int):
 def removed_spans(src: DataFrame, window: int = WINDOW) -> DataFrame:
     """``key``, ``mark`` and ``spans`` (array of struct<p, n>: ``n`` repeated windows from byte ``p``) of every
     text of ``src`` (``key``, ``mark``, ``text``) that holds a repeated window."""
-    schema = "key long, mark long, g long, c long, p long, n int"
+    schema = "key long, mark long, g long, c long, p long, n int, o int"
     runs = stage(src.mapInArrow(_runs(window), schema), "suffix-runs")
     digit = runs.groupBy("g").agg(F.count(F.lit(1)).alias("all"), F.min("c").alias("c0"), F.max("c").alias("c1"))
     digit = digit.where("all >= 2").select("g", (F.col("c0") != F.col("c1")).alias("many"))
     left = stage(runs.join(digit, "g"), "suffix-left")
     unstage(runs)
-    kinds = left.where("many").groupBy("g", "c").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("key", "mark", "p", "n")).alias("r"))
+    kinds = left.where("many").groupBy("g", "c").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("key", "mark", "p", "n", "o")).alias("r"))
     kinds = stage(kinds.select("g", "c", "m", "r.*"), "suffix-kinds")
-    picked = kinds.groupBy("key", "mark").agg(F.collect_list(F.struct("g", "c", "p", F.col("n").cast("long").alias("n"), "m")).alias("runs"))
-    texts = picked.join(src, ["key", "mark"]).dropDuplicates(["key", "mark"]).select("text", "runs")
-    deep = stage(texts.mapInArrow(_expand(window), "g long, c long, i int, w long, m long"), "suffix-deep")
+    of_run = F.struct("g", "p", F.col("n").cast("long").alias("n"), F.col("o").cast("long").alias("o"), "m")
+    picked = kinds.groupBy("key", "mark").agg(F.collect_list(of_run).alias("runs"))
+    texts = picked.join(src, ["key", "mark"]).dropDuplicates(["key", "mark"]).select("key", "mark", "text", "runs")
+    parts = stage(texts.mapInArrow(_parts(window), "key long, mark long, g long, k long, v long, p long, n int, alone boolean, w array<long>"), "suffix-parts")
+    digit = parts.groupBy("g", "k").agg(F.count(F.lit(1)).alias("all"), F.min("v").alias("v0"), F.max("v").alias("v1"))
+    digit = digit.where("all >= 2").select("g", "k", (F.col("v0") != F.col("v1")).alias("many"))
+    met = stage(parts.join(digit, ["g", "k"]).select("key", "mark", "g", "p", "n", "alone", "many", F.when(F.col("many"), F.col("w")).alias("w")), "suffix-met")
+    unstage(parts)
+    deep = met.where("many").select("key", "mark", "g", "p", "alone", F.posexplode("w").alias("i", "w"))
     shared = deep.groupBy("g", "w").agg(F.count(F.lit(1)).alias("k")).where("k >= 2").select("g", "w")
-    alone = deep.where("m = 1").join(shared, ["g", "w"]).select("g", "c", "i")
-    one = kinds.where("m = 1").select("g", "c", "key", "mark", F.col("p").alias("p0"))
-    partly = alone.join(one, ["g", "c"]).select("key", "mark", (F.col("p0") + F.col("i")).alias("p"), F.lit(1).alias("n"))
+    partly = deep.where("alone").join(shared, ["g", "w"]).select("key", "mark", (F.col("p") + F.col("i")).alias("p"), F.lit(1).alias("n"))
+    partly = partly.unionByName(met.where("alone AND NOT many").select("key", "mark", "p", "n"))
     whole = left.where("NOT many").select("key", "mark", "p", "n").unionByName(
         left.where("many").join(kinds.where("m >= 2").select("g", "c"), ["g", "c"]).select("key", "mark", "p", "n")
     )
