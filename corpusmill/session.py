@@ -34,7 +34,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) do we create one of our own.
+    Only when a local session names none (tests) do we create one of our own; on a cluster a folder of the
+    driver's machine would be lost to the executors, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -42,6 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="corpusmill-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -113,3 +113,17 @@ def test_write_sized_gzip_byte_cap(spark, tmp_dir):
     assert len(parts) >= 6
     assert all(len(gzip.open(p).read()) <= 8_000 for p in parts)
     assert spark.read.text(out).count() == 2000
+
+
+def test_scan_split_gzip_refuses_a_cut_stream(spark, tmp_dir):
+    folder = _byte_split_corpus(tmp_dir, "cut", [f"line {i}" for i in range(5000)], 997)
+    parts = sorted(os.path.join(folder, f) for f in os.listdir(folder))
+    with pytest.raises(EOFError):
+        list(FS._gzip_lines(parts[:-1]))
+
+
+def test_scan_split_gzip_keeps_equal_folder_names_apart(spark, tmp_dir):
+    os.makedirs(os.path.join(tmp_dir, "a")), os.makedirs(os.path.join(tmp_dir, "b"))
+    folders = [_byte_split_corpus(os.path.join(tmp_dir, d), "train", [f"{d}1", f"{d}2"], 9) for d in "ab"]
+    got = sorted(tuple(r) for r in FS.scan_split_gzip(spark, folders).collect())
+    assert got == [("train", 0, "a1"), ("train", 0, "b1"), ("train", 1, "a2"), ("train", 1, "b2")]
