@@ -2,9 +2,9 @@
 
 The cleaning chain, the projections and the empty-row filters are row-local, so the
 same Column expressions run on a streaming DataFrame. New corpus files dropped into
-a folder are cleaned and appended by source; the per-source statistics table is
-updated per micro-batch with the mergeable-stats operator (A6), which is exactly
-its purpose (merging the stats of an added corpus into the existing table).
+a folder are cleaned and appended by source; each micro-batch writes its own
+per-source statistics, and the mergeable-stats operator (A6) joins them when they are
+read, which is exactly its purpose (merging the stats of an added corpus).
 """
 
 from __future__ import annotations
@@ -44,11 +44,9 @@ def clean_stream(stream: DataFrame) -> DataFrame:
     return filter_nonempty_input(clean_columns(canon, ["input"]))
 
 
-def _read_stats(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(STATS_SCHEMA).parquet(path)
-    except Exception:  # first batch: no table yet
-        return spark.createDataFrame([], STATS_SCHEMA)
+def ingested_stats(spark: SparkSession, stats_dir: str) -> DataFrame:
+    """Per-source statistics of all batches below ``stats_dir`` (A6 over one partial table per batch)."""
+    return stats_merge(spark.read.schema(STATS_SCHEMA).parquet(f"{stats_dir.rstrip('/')}/batch=*"))
 
 
 def start_ingest(
@@ -59,26 +57,19 @@ def start_ingest(
     checkpoint_dir: str,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Clean new files, append them partitioned by source, and merge their stats into ``stats_dir``.
+    """Clean new files, append them partitioned by source, and write their stats below ``stats_dir``.
 
-    ``foreachBatch`` writes are idempotent per batch id (the batch id is part of the output path
-    of the corpus rows and the stats table is rewritten as a whole), so a restarted query that
-    replays a batch after an executor or driver loss produces the same tables.
+    ``foreachBatch`` writes are idempotent per batch id (it is part of the output path of the corpus rows and
+    of the partial stats), so a restarted query that replays a batch after an executor or driver loss replaces
+    that batch's output. ``ingested_stats`` reads the merged table.
     """
     cleaned = clean_stream(read_text_stream(spark, source_dir))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        (
-            batch.write.mode("overwrite")
-            .partitionBy("source")
-            .parquet(f"{corpus_dir.rstrip('/')}/batch={batch_id}")
-        )
-        added = stats_by_source(batch)
-        current = _read_stats(spark, stats_dir)
-        merged = stats_merge(current, added).checkpoint(eager=True)  # cut the read of the old table
-        merged.write.mode("overwrite").parquet(stats_dir)
-        batch.unpersist()
+        rows = f"{corpus_dir.rstrip('/')}/batch={batch_id}"
+        batch.write.mode("overwrite").partitionBy("source").parquet(rows)
+        written = spark.read.schema(batch.schema).parquet(rows)
+        stats_by_source(written).write.mode("overwrite").parquet(f"{stats_dir.rstrip('/')}/batch={batch_id}")
 
     writer = cleaned.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
