@@ -7,7 +7,8 @@ document's score is the mean over its tokens of the target's loss minus the back
 the target.
 
 All documents are counted: each task adds its own counts up and the partial counts meet by slot, so what is
-shuffled follows the number of input splits. The model has a fixed size (proven bound: ``2**PAIR_BITS +
+shuffled follows the number of input splits. The marks of target documents are as many as the corpus has of
+them, so they are never broadcast: texts and marks meet in a shuffle join at every size. The model has a fixed size (proven bound: ``2**PAIR_BITS +
 2**WORD_BITS`` rows), which is why it may be broadcast.
 
 Defined cases: NULL and empty texts have no tokens and score 0 with NULL losses; without target documents both
@@ -98,7 +99,7 @@ class Model:
 def train(docs: DataFrame, wanted: DataFrame) -> tuple[Model, Model]:
     """Target and background models. ``wanted`` has the ``doc_id`` of target documents."""
     ids = wanted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct().withColumn("wanted", F.lit(True))
-    marked = id_text(docs).join(ids, "doc_id", "left").select("text", F.coalesce("wanted", F.lit(False)).alias("wanted"))
+    marked = id_text(docs).join(ids.hint("merge"), "doc_id", "left").select("text", F.coalesce("wanted", F.lit(False)).alias("wanted"))
     counts = marked.mapInArrow(_count, "slot long, background long, target long")
     table = stage(counts.groupBy("slot").agg(F.sum("background").alias("background"), F.sum("target").alias("target")), "lm-counts").toArrow()
     slot = table.column("slot").to_numpy()
