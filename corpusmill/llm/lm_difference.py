@@ -1,139 +1,219 @@
-"""Operator 10: cross-entropy difference of matched n-gram models.
-
-A target model (documents marked as wanted) and a background model (all documents) count the same vocabulary:
-every word falls into one of ``2**WORD_BITS`` hashed classes, every pair of adjacent classes into one of
-``2**PAIR_BITS`` slots. Both are bigram models that fall back on their unigrams by Dirichlet smoothing. A
-document's score is the mean over its tokens of the target's loss minus the background's; lower is more like
-the target.
-
-All documents are counted: each task adds its own counts up and the partial counts meet by slot, so what is
-shuffled follows the number of input splits. The marks of target documents are as many as the corpus has of
-them, so they are never broadcast: texts and marks meet in a shuffle join at every size. The model has a fixed size (proven bound: ``2**PAIR_BITS +
-2**WORD_BITS`` rows), which is why it may be broadcast.
-
-Defined cases: NULL and empty texts have no tokens and score 0 with NULL losses; without target documents both
-models are smoothed to the same uniform base; a document's label rows count once however often they repeat;
+"""Operator 10: cross-entropy difference of exact n-gram models.
+
+A target model (documents marked as wanted) and a background model (all documents) count the same words and
+pairs of adjacent words, each under its own text: nothing is folded together or left out. Both are bigram
+models that fall back on their unigrams by Dirichlet smoothing; the vocabulary is every distinct word of the
+input. A document's first token has no word before it and takes its unigram loss. A document's score is the
+mean over its tokens of the target's loss minus the background's; lower is more like the target.
+
+Texts are packed into blocks of about ``BLOCK`` characters. The marks of target documents are as many as the
+corpus has of them, so they are never broadcast: ids and marks meet in a shuffle join at every size. A block's
+n-grams are counted before they are shuffled, so the most frequent n-gram has one entry a block, not one an
+occurrence. Entries are dealt by the n-gram's hash into buckets, whose number grows with the input, and travel
+sorted and compressed, one row a block and bucket. A bucket adds up equal n-grams by their text (the hash only
+deals) and answers each block with the sums in the order in which it asked. Sums meet the texts by block, so a
+task holds the counts of one block or one bucket, never a whole model.
+
+Defined cases: NULL and empty texts have no tokens and score 0 with NULL losses; without target documents the
+target model is uniform over the vocabulary; a document's label rows count once however often they repeat;
 repeated documents count as often as they occur; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, share, stage
+from .common import id_text, stage
 
-WORD_BITS, PAIR_BITS = 16, 20
 STRENGTH = 32.0  # weight of the unigram in the smoothed bigram
 WORD = re.compile(r"\w+|[^\w\s]+")
-START = 0  # class of the place before the first token
-
-
-class Classes:
-    """Words to class numbers 1..2**WORD_BITS-1; remembers the words of a worker up to a limit."""
-
-    def __init__(self):
-        self.known: dict[str, int] = {}
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = WORD.findall((text or "").lower())
-        if len(self.known) > 300_000:
-            self.known = {}
-        for w in set(words).difference(self.known):
-            self.known[w] = 1 + xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 10) % ((1 << WORD_BITS) - 1)
-        return np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
-
-
-def pair_slots(ids: np.ndarray) -> np.ndarray:
-    before = np.concatenate([[START], ids[:-1]]).astype(np.uint64)
-    z = (before * np.uint64(0x9E3779B97F4A7C15)) ^ (ids.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-    z = (z ^ (z >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (z >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of one task: slots below 2**PAIR_BITS are pairs, the others are words."""
-    size = (1 << PAIR_BITS) + (1 << WORD_BITS)
-    counts, classes = np.zeros((2, size), dtype=np.int64), Classes()
-    for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            part = batch.slice(at, 512)
-            for which in (0, 1):
-                texts = [t for t, w in zip(part.column(0).to_pylist(), part.column(1).to_pylist()) if bool(w) == bool(which)]
-                ids = [x for x in map(classes, texts) if len(x)]
-                if ids:
-                    slots = np.concatenate([pair_slots(x) for x in ids] + [x + (1 << PAIR_BITS) for x in ids])
-                    found, n = np.unique(slots, return_counts=True)
-                    counts[0, found] += n
-                    if which:
-                        counts[1, found] += n
-    seen = np.flatnonzero(counts[0])
-    for at in range(0, len(seen), 100_000):
-        k = seen[at : at + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(counts[0, k]), pa.array(counts[1, k])], names=["slot", "background", "target"])
-
-
-class Model:
-    """Losses (nats) of tokens under one model."""
-
-    def __init__(self, pairs: np.ndarray, words: np.ndarray):
-        total, v = float(words.sum()), len(words)
-        self.unigram = ((words + 1.0) / (total + v)).astype(np.float32)
-        self.pairs, self.words = pairs.astype(np.float32), words.astype(np.float32)
-
-    def losses(self, ids: np.ndarray, slots: np.ndarray) -> np.ndarray:
-        before = np.concatenate([[START], ids[:-1]])
-        context = self.words[before]
-        # hashed pairs can be more than their context's count; the ratio stays within 0 and 1
-        both = np.minimum(self.pairs[slots], context)
-        return -np.log((both + STRENGTH * self.unigram[ids]) / (context + STRENGTH))
-
-
-def train(docs: DataFrame, wanted: DataFrame) -> tuple[Model, Model]:
-    """Target and background models. ``wanted`` has the ``doc_id`` of target documents."""
-    ids = wanted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct().withColumn("wanted", F.lit(True))
-    marked = id_text(docs).join(ids.hint("merge"), "doc_id", "left").select("text", F.coalesce("wanted", F.lit(False)).alias("wanted"))
-    counts = marked.mapInArrow(_count, "slot long, background long, target long")
-    table = stage(counts.groupBy("slot").agg(F.sum("background").alias("background"), F.sum("target").alias("target")), "lm-counts").toArrow()
-    slot = table.column("slot").to_numpy()
-    out = []
-    for name in ("target", "background"):
-        full = np.zeros((1 << PAIR_BITS) + (1 << WORD_BITS), dtype=np.int64)
-        full[slot] = table.column(name).to_numpy()
-        out.append(Model(full[: 1 << PAIR_BITS], full[1 << PAIR_BITS :]))
-    return out[0], out[1]
-
-
-def score_documents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_tokens`` (long), ``target_loss``, ``background_loss`` (mean nats a token), ``score``."""
-    shared = share(docs.sparkSession, train(docs, wanted))
+BLOCK = 1 << 23  # characters of a block, at least one text
+BUCKETS = 256  # at least; else one for two blocks, so that a bucket's entries stay bounded
+MODELS = ("background", "target")
+
+PACKED = "block long, ids array<long>, size long, texts binary"
+ENTRIES = "bucket long, block long, n long, size long, grams binary, counts binary"
+SUMS = "bucket long, block long, n long, sums binary, n_words long, background long, target long"
+SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
+
 
+class Numbers(dict):
+    """Words to numbers from 0, by first sight."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+def _pack(block_size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (target, background), classes = shared(), Classes()
+        block, held, ids, texts = TaskContext.get().partitionId() << 32, 0, [], []
+
+        def flush() -> pa.RecordBatch:
+            sink = pa.BufferOutputStream()
+            batch = pa.record_batch([pa.array(texts, pa.large_string())], names=["text"])
+            with pa.ipc.new_stream(sink, batch.schema) as out:
+                out.write_batch(batch)
+            raw = sink.getvalue()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([raw.size], pa.int64()), pa.array([pa.compress(raw, "zstd", asbytes=True)], pa.binary())],
+                names=["block", "ids", "size", "texts"],
+            )
+
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                rows: list[tuple] = []
-                for text in part.column(1).to_pylist():
-                    ids = classes(text)
-                    if not len(ids):
-                        rows.append((0, None, None, 0.0))
-                        continue
-                    slots = pair_slots(ids)
-                    a = float(target.losses(ids, slots).mean(dtype=np.float64))
-                    b = float(background.losses(ids, slots).mean(dtype=np.float64))
-                    rows.append((len(ids), a, b, a - b if math.isfinite(a - b) else 0.0))
-                cols = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(cols[0], pa.int64()), *[pa.array(c, pa.float64()) for c in cols[1:]]],
-                    names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"],
-                )
-
-    return id_text(docs).mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                n = len(text or "") + 1
+                if ids and held + n > block_size:
+                    yield flush()
+                    block, held, ids, texts = block + 1, 0, [], []
+                held += n
+                ids.append(doc_id)
+                texts.append(text)
+        if ids:
+            yield flush()
+
+    return run
+
+
+class Block:
+    """Words and pairs of a block's texts: ``ids`` (word numbers of all tokens, words in sorted order), ``sizes``
+    (tokens of each text), ``later`` (places of tokens with another before them in their text), ``pairs`` and
+    ``pair_at`` (the distinct pairs and each later token's). Entries are words, then pairs; ``order`` puts them by
+    ``bucket``."""
+
+    def __init__(self, size: int, packed: bytes, buckets: int):
+        texts = pa.ipc.open_stream(pa.decompress(packed, size, "zstd")).read_all().column(0).to_pylist()
+        numbers, parts = Numbers(), []
+        for text in texts:
+            words = WORD.findall((text or "").lower())
+            parts.append(np.fromiter(map(numbers.__getitem__, words), dtype=np.int64, count=len(words)))
+        self.sizes = np.array([len(p) for p in parts], dtype=np.int64)
+        self.words = sorted(numbers)
+        self.n = n = len(self.words)
+        place = np.empty(n, dtype=np.int64)
+        place[np.fromiter(map(numbers.__getitem__, self.words), dtype=np.int64, count=n)] = np.arange(n)
+        self.ids = place[np.concatenate(parts)] if n else np.zeros(0, np.int64)
+        rest = np.ones(len(self.ids), dtype=bool)
+        rest[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = False
+        self.later = np.flatnonzero(rest)
+        self.pairs, self.pair_at = np.unique(self.ids[self.later - 1] * n + self.ids[self.later], return_inverse=True)
+        h = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 10) for w in self.words), dtype=np.uint64, count=n)
+        if n:
+            z = (h[self.pairs // n] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[self.pairs % n] * np.uint64(0xC2B2AE3D27D4EB4F))
+            h = np.concatenate([h, z ^ (z >> np.uint64(29))])
+        self.bucket = ((h >> np.uint64(11)) % np.uint64(buckets)).astype(np.int64)
+        self.order = np.argsort(self.bucket, kind="stable")
+
+    def counts(self, mark: np.ndarray) -> np.ndarray:
+        """Count of each entry over the tokens (a pair's: over its second token) that ``mark`` holds for."""
+        return np.concatenate([np.bincount(self.ids[mark], minlength=self.n), np.bincount(self.pair_at[mark[self.later]], minlength=len(self.pairs))]).astype(np.int64)
+
+
+def _count(buckets: int):
+    def run(texts: pa.Table, marked: pa.Table) -> pa.Table:
+        out: list[list] = [[] for _ in range(6)]
+        wanted = set(marked.column("doc_id").to_pylist()) if marked.num_rows else set()
+        for row in texts.to_pylist():  # one row
+            b = Block(row["size"], row["texts"], buckets)
+            if not b.n:
+                continue
+            mark = np.repeat(np.array([i in wanted for i in row["ids"]], dtype=bool), b.sizes)
+            both = [b.counts(np.ones(len(b.ids), dtype=bool))[b.order], b.counts(mark)[b.order]]
+            words = pa.array(b.words, pa.string())
+            # words hold no white space, so a pair's text is no other pair's and no word's
+            pairs = pc.binary_join_element_wise(words.take(pa.array(b.pairs // b.n)), words.take(pa.array(b.pairs % b.n)), " ")
+            grams = pa.concat_arrays([words, pairs]).take(pa.array(b.order))
+            dealt = b.bucket[b.order]
+            starts = np.flatnonzero(np.r_[True, dealt[1:] != dealt[:-1]])
+            edges = np.r_[starts, len(dealt)]
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), grams), "\n")
+            for i, (lo, hi) in enumerate(zip(edges, edges[1:])):
+                raw = joined[i].as_buffer()
+                counts = np.concatenate([c[lo:hi] for c in both]).tobytes()
+                values = (int(dealt[lo]), row["block"], int(hi - lo), raw.size, pa.compress(raw, "zstd", asbytes=True), pa.compress(counts, "zstd", asbytes=True))
+                for c, v in zip(out, values):
+                    c.append(v)
+        types = (pa.int64(),) * 4 + (pa.binary(),) * 2
+        return pa.table([pa.array(c, t) for c, t in zip(out, types)], names=["bucket", "block", "n", "size", "grams", "counts"])
+
+    return run
+
+
+def _add(entries: pa.Table) -> pa.Table:
+    """Sums of one bucket's n-grams, one row a block; its words and their totals stand in the first row only."""
+    n = entries.column("n").to_numpy()
+    raw = [pa.decompress(g, size, "zstd").to_pybytes().decode("utf-8", "surrogatepass") for g, size in zip(entries.column("grams").to_pylist(), entries.column("size").to_pylist())]
+    grams = pa.chunked_array([pa.array(r.split("\n"), pa.string()) for r in raw]).combine_chunks().dictionary_encode()
+    at, words = grams.indices.to_numpy(), pc.invert(pc.match_substring(grams.dictionary, " ")).to_numpy(zero_copy_only=False)
+    del raw
+    counts = [np.frombuffer(pa.decompress(c, 16 * int(k), "zstd"), np.int64).reshape(2, -1) for c, k in zip(entries.column("counts").to_pylist(), n)]
+    sums = np.zeros((2, len(words)), dtype=np.int64)
+    for which in (0, 1):
+        np.add.at(sums[which], at, np.concatenate([c[which] for c in counts]))
+    edges = np.concatenate([[0], np.cumsum(n)])
+    back = [pa.compress(np.ascontiguousarray(sums[:, at[lo:hi]]).tobytes(), "zstd", asbytes=True) for lo, hi in zip(edges, edges[1:])]
+    first = np.arange(len(n)) == 0
+    whole = [int(words.sum()), *(int(s[words].sum()) for s in sums)]
+    return pa.table(
+        [entries.column("bucket"), entries.column("block"), entries.column("n"), pa.array(back, pa.binary()), *[pa.array(np.where(first, v, 0)) for v in whole]],
+        names=["bucket", "block", "n", "sums", "n_words", *MODELS],
+    )
+
+
+def _score(buckets: int, n_words: int, totals: dict[str, int]):
+    def run(texts: pa.Table, sums: pa.Table) -> pa.Table:
+        out = []
+        for row in texts.to_pylist():  # one row
+            b = Block(row["size"], row["texts"], buckets)
+            asked = sorted(sums.to_pylist(), key=lambda r: r["bucket"])
+            parts = [np.frombuffer(pa.decompress(r["sums"], 16 * r["n"], "zstd"), np.int64).reshape(2, -1) for r in asked]
+            loss = {}
+            if b.n:
+                found = np.empty((2, len(b.order)), dtype=np.int64)
+                found[:, b.order] = np.concatenate(parts, axis=1)
+                for which, name in enumerate(MODELS):
+                    seen, pairs = found[which, : b.n].astype(np.float64), found[which, b.n :]
+                    unigram = (seen + 1.0) / (totals[name] + n_words)
+                    context, both = np.zeros(len(b.ids)), np.zeros(len(b.ids))
+                    context[b.later], both[b.later] = seen[b.ids[b.later - 1]], pairs[b.pair_at]
+                    each = -np.log((both + STRENGTH * unigram[b.ids]) / (context + STRENGTH))
+                    loss[name] = [float(each[end - k : end].mean()) if k else None for end, k in zip(np.cumsum(b.sizes), b.sizes)]
+            target, background = (loss.get(name, [None] * len(b.sizes)) for name in ("target", "background"))
+            score = [0.0 if x is None else x - y for x, y in zip(target, background)]
+            out.append(pa.table(
+                [pa.array(row["ids"], pa.int64()), pa.array(b.sizes), *[pa.array(c, pa.float64()) for c in (target, background, score)]],
+                names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"],
+            ))
+        return pa.concat_tables(out) if out else EMPTY
+
+    return run
+
+
+EMPTY = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), *[(c, pa.float64()) for c in ("target_loss", "background_loss", "score")]]).empty_table()
+
+
+def score_documents(docs: DataFrame, wanted: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``doc_id``, ``n_tokens`` (long), ``target_loss``, ``background_loss`` (mean nats a token), ``score``.
+
+    ``wanted`` has the ``doc_id`` of target documents.
+    """
+    texts = stage(id_text(docs).mapInArrow(_pack(block), PACKED), "lm-texts")
+    buckets = max(BUCKETS, -(-texts.select("block").count() // 2))
+    ids = wanted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
+    held = texts.select("block", F.explode("ids").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
+    marked = held.join(ids.hint("merge"), "doc_id").select(F.col("block").alias("at"), "doc_id")
+    entries = texts.groupBy("block").cogroup(marked.groupBy("at")).applyInArrow(_count(buckets), ENTRIES)
+    sums = stage(entries.groupBy("bucket").applyInArrow(_add, SUMS), "lm-counts")
+    whole = sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_words", *MODELS)]).first()
+    run = _score(buckets, whole["n_words"], {name: whole[name] for name in MODELS})
+    answers = sums.select("block", "bucket", "n", "sums")
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, SCORES)

@@ -236,6 +236,29 @@ def test_lm_difference(spark, docs, none):
     assert lm_difference.score_documents(none, none.select("doc_id")).count() == 0
 
 
+def test_lm_difference_is_exact(docs, small):
+    """Losses equal those of plain counts of every word and pair, over many blocks and with rare words."""
+    for df, block in ((docs, 100), (small, 20_000), (small, lm_difference.BLOCK)):
+        rows = [(r.doc_id, lm_difference.WORD.findall((r.text or "").lower())) for r in df.collect()]
+        want = []
+        losses = {}
+        words = {w for _, t in rows for w in t}
+        for name, mine in (("target", [t for i, t in rows if i is not None and i % 3 == 0]), ("background", [t for _, t in rows])):
+            one = collections.Counter(w for t in mine for w in t)
+            two = collections.Counter(p for t in mine for p in zip(t, t[1:]))
+            uni = {w: (one[w] + 1) / (sum(one.values()) + len(words)) for w in words}
+            losses[name] = [
+                np.mean([-np.log(uni[t[0]])] + [-np.log((two[p] + 32 * uni[p[1]]) / (one[p[0]] + 32)) for p in zip(t, t[1:])]) if t else None
+                for _, t in rows
+            ]
+        for (i, t), a, b in zip(rows, losses["target"], losses["background"]):
+            want.append((str(i), len(t), a or 0.0, b or 0.0, (a or 0.0) - (b or 0.0)))
+        got = lm_difference.score_documents(df, df.where("doc_id % 3 = 0").select("doc_id"), block=block).collect()
+        got = sorted((str(r.doc_id), r.n_tokens, r.target_loss or 0.0, r.background_loss or 0.0, r.score) for r in got)
+        assert [g[:2] for g in got] == [w[:2] for w in sorted(want)]
+        assert np.allclose([g[2:] for g in got], [w[2:] for w in sorted(want)])
+
+
 def test_pipeline(spark, docs, none):
     for df in (docs, none):
         now = df
