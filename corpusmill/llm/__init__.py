@@ -1,6 +1,6 @@
 """Operators for a training-data pipeline. Nothing outside this subpackage imports it.
 
-Ten numbered operators, each in its own module, plus their registered queries in ``queries.py``:
+Thirteen numbered operators, each in its own module, plus their registered queries in ``queries.py``:
 
 1 ``multi_index``      nearest neighbours by an inverted multi-index
 2 ``simhash``          near-duplicates by tiled exact SimHash comparison
@@ -12,4 +12,7 @@ Ten numbered operators, each in its own module, plus their registered queries in
 8 ``feistel_shards``   reproducible shuffle and sharding
 9 ``length_packing``   optimal length buckets and token-budget batches
 10 ``lm_difference``   cross-entropy difference of two n-gram models
+11 ``lexical_search``  ranked search by an Aho-Corasick scan of the documents
+12 ``repetition``      quality rules from a suffix array of each text's words
+13 ``merkle_manifest`` Merkle manifest and proofs by descent of its records
 """

@@ -1,11 +1,11 @@
-"""Registered queries of this subpackage; none is expressible as DuckDB SQL by its method (see the tests)."""
+"""Registered queries of this subpackage. Where DuckDB SQL can express the rows, ``oracle_sql`` has it; the tests compare all others with brute force."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import feistel_shards, length_packing, license_scan, lm_difference, multi_index, multiset_hash, simhash, suffix_dedup, toxicity, word_bpe
+from . import feistel_shards, length_packing, lexical_search, license_scan, lm_difference, merkle_manifest, multi_index, multiset_hash, repetition, simhash, suffix_dedup, toxicity, word_bpe
 from .common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -52,6 +52,25 @@ def op10_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_difference.score_documents(read_table(spark, sf_dir, "documents"), labels.where("quality = 1").select("doc_id"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.quality_rules(read_table(spark, sf_dir, "documents")).drop("longest_repeat")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.manifest_proofs(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    ops = (op1_multi_index, op2_simhash, op3_multiset_hash, op4_suffix_dedup, op5_license_scan, op6_word_bpe, op7_toxicity, op8_feistel_shards, op9_length_packing, op10_lm_difference)
+    ops = (
+        op1_multi_index, op2_simhash, op3_multiset_hash, op4_suffix_dedup, op5_license_scan, op6_word_bpe, op7_toxicity,
+        op8_feistel_shards, op9_length_packing, op10_lm_difference, op11_lexical_search, op12_repetition, op13_merkle_manifest,
+    )
     return {f.__name__: f for f in ops}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {"op11_lexical_search": lexical_search.ORACLE_SQL, "op12_repetition": repetition.ORACLE_SQL}
