@@ -38,7 +38,7 @@ from .common import id_text
 
 MIN_REPEAT = 10  # words of a span that counts
 MAX_COVERED = 0.2  # of the code points in words
-MAX_REPEAT = 50  # words
+MAX_REPEAT = 30  # words
 BATCH = 1 << 17
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\r\x0b\x0c"
