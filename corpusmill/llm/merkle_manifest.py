@@ -117,14 +117,16 @@ def manifest_proofs(docs: DataFrame) -> DataFrame:
     """One row a document: ``doc_id``, ``leaf``, ``subroot``, ``root``, ``proof_sha256``, ``folded_root``, ``verified``."""
     spark = docs.sparkSession
     rows = docs.select(*[F.col(f"`{c}`") for c in FIELDS])
-    leaves = rows.select(
+    leaves = rows.select(  # staged, so that the sort's sampling pass does not hash the texts again
         F.col("doc_id").cast("long").alias("doc_id"),
         # a source's key sorts like the source, NULL first
         F.coalesce(F.concat(F.lit("1"), F.col("source").cast("string")), F.lit("0")).alias("source"),
         leaf_digest().alias("digest"),
         F.when(is_tampered(F.col("doc_id")), leaf_digest(text=F.translate(F.col("text").cast("string"), UPPER, LOWER))).alias("changed"),
     )
+    leaves = stage(leaves, "merkle-hashed")
     ranked = sorted_ranks(leaves, "source", ["doc_id", "digest"], "merkle-leaves")
+    unstage(leaves)
     sizes = ranked.groupBy("source").agg(F.first("total").alias("total"))
     top, n_sources = sizes.agg(F.max(heights(F.col("total"))), F.count(F.lit(1))).first()
     if not n_sources:
