@@ -37,6 +37,18 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only ``doc_id`` and ``text``; every other column, whatever its name, is pruned at the scan."""
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
@@ -51,13 +63,14 @@ def number_rows(df: DataFrame, order: list[str], group: list[str], out: str, n_r
     equal in all ``order`` columns are interchangeable and get neighbouring numbers.
     """
     buckets = max(1, math.isqrt(max(0, n_rows - 1)) + 1)
-    df = df.withColumn("__b", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    counts = df.groupBy(*group, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    first = counts.select(*group, "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
-    inside = Window.partitionBy(*group, "__b").orderBy(*order)
-    numbered = df.withColumn("__i", F.row_number().over(inside) - 1).join(first, [*group, "__b"])
-    return numbered.withColumn(out, F.col("__first") + F.col("__i")).drop("__b", "__i", "__first")
+    b, i, n, start = fresh(df, "__b", "__i", "__n", "__first")
+    df = df.withColumn(b, F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    counts = df.groupBy(*group, b).agg(F.count(F.lit(1)).alias(n))
+    before = Window.partitionBy(*group).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.select(*group, b, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(start))
+    inside = Window.partitionBy(*group, b).orderBy(*order)
+    numbered = df.withColumn(i, F.row_number().over(inside) - 1).join(first, [*group, b])
+    return numbered.withColumn(out, F.col(start) + F.col(i)).drop(b, i, start)
 
 
 def utf8_len(text: Column) -> Column:

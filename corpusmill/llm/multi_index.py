@@ -5,12 +5,13 @@ bounded sample. A vector's cell is its pair of nearest centroids, and every vect
 the centroid pairs by increasing summed distance with a heap until the cells walked hold ``coverage`` of the
 index; the vectors of those cells are reranked by exact cosine in double precision on the original vectors.
 
-Equal vectors are indexed once: of a group of copies only the ``k + 1`` smallest ids can ever be among a
-query's ``k`` nearest (ties go to the smaller id, and one may be the query itself), which is exact. Cells are
-cut into blocks of bounded size, so no task holds a whole hot cell.
+Equal vectors are indexed once: of a group of copies only the ``k + 1`` smallest distinct ids can ever be among
+a query's ``k`` nearest (ties go to the smaller id, and one may be the query itself). Cells are cut into blocks of
+bounded size and queries into groups of ``ASKED``; a task compares one group with one block.
 
 Defined cases: vectors that are NULL, zero, or hold NULL or non-finite components, and rows with a NULL id, take
 no part (they get no rows as queries); vectors whose length is not the commonest one take no part either;
+repeated rows count once; an id with several vectors is searched with each, and found by the best of them;
 with fewer than ``k`` candidates all are returned; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -33,6 +34,7 @@ SAMPLE, CENTROIDS = 20_000, 16
 #: Share of the indexed vectors whose cells a query walks. Measured recall is in the README.
 COVERAGE = 0.6
 BLOCK = 4096
+ASKED = 4096
 
 
 def kmeans(x: np.ndarray, k: int, seed: int, rounds: int = 12) -> np.ndarray:
@@ -92,7 +94,7 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embe
     dim = common["d"]
     rows = rows.where(F.size("v") == dim)
     # one row a distinct vector, with the ids that can matter
-    ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("r") <= k + 1)
+    ranked = rows.distinct().withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("r") <= k + 1)
     distinct = stage(ranked.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "imi-distinct")
     fit = distinct.orderBy(F.xxhash64(F.col("ids")[0]), F.col("ids")[0]).limit(sample).select("v").toArrow()
     x = np.array(fit.column(0).combine_chunks().values).reshape(-1, dim) if fit.num_rows else np.zeros((0, dim))
@@ -131,10 +133,12 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embe
                 one = pa.array(np.full(len(cell), i))
                 yield pa.RecordBatch.from_arrays([b.column(0).take(one), b.column(1).take(one), pa.array(cell), pa.array(part)], names=["query_id", "v", "cell", "part"])
 
-    asked = rows.where(is_query(F.col("vec_id"))).select(F.col("vec_id").alias("query_id"), "v")
-    probes = asked.mapInArrow(probe, "query_id long, v array<double>, cell long, part long")
+    asked = rows.where(is_query(F.col("vec_id"))).select(F.col("vec_id").alias("query_id"), "v").distinct()
+    groups = max(1, -(-asked.count() // ASKED))
+    probes = asked.mapInArrow(probe, "query_id long, v array<double>, cell long, part long").withColumn("asked", F.pmod(F.xxhash64("query_id"), F.lit(groups)))
     edges = F.array(*[F.lit(int(n)) for n in blocks])
     indexed = index.withColumn("part", F.pmod(F.xxhash64("v"), F.element_at(edges, (F.col("cell") + 1).cast("int")).cast("long")))
+    indexed = indexed.withColumn("asked", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
 
     def rerank(key, q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
@@ -145,13 +149,22 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embe
         out: list[tuple[int, int, float]] = []
         for qid, qv in zip(q["query_id"], q["v"]):
             s = (v * qv).sum(1) / (norm * np.sqrt((qv * qv).sum()))
-            # k + 1 vectors hold at least k other ids; ties at the edge stay
-            top = np.flatnonzero(s >= np.partition(s, -(k + 1))[-(k + 1)]) if len(s) > k + 1 else np.arange(len(s))
-            near = sorted((-s[t], int(i)) for t in top for i in ids[t] if i != qid)[:k]
-            out += [(int(qid), i, -float(m)) for m, i in near]
+            n = k + 1
+            while True:  # vectors of one id may take several places; ties at the edge stay
+                top = np.flatnonzero(s >= np.partition(s, -n)[-n]) if len(s) > n else np.arange(len(s))
+                best: dict[int, float] = {}
+                for t in top:
+                    for i in ids[t]:
+                        if i != qid:
+                            best[int(i)] = max(best.get(int(i), -2.0), float(s[t]))
+                if len(best) >= k or n >= len(s):
+                    break
+                n *= 4
+            near = sorted((-m, i) for i, m in best.items())[:k]
+            out += [(int(qid), i, -m) for m, i in near]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    near = probes.groupBy("cell", "part").cogroup(indexed.groupBy("cell", "part")).applyInPandas(rerank, "query_id long, vec_id long, score double")
+    near = probes.groupBy("cell", "part", "asked").cogroup(indexed.groupBy("cell", "part", "asked")).applyInPandas(rerank, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    best = near.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    best = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -3,7 +3,7 @@
 A text is a multiset of paragraphs: its lines, cut further after sentence ends, so that a text of one line
 still has parts. Each paragraph is hashed to a wide vector and the vectors are added lane by lane, modulo
 powers of two: 4 equality lanes of 64 bits (modulo 2^64), a paragraph count (modulo 2^64), and 128 sign lanes
-of 16 bits (modulo 2^16) to which a paragraph adds +1 or -1. Adding or subtracting a paragraph's vector
+of 32 bits (modulo 2^32) to which a paragraph adds +1 or -1; no text has 2^31 paragraphs, so these never wrap. Adding or subtracting a paragraph's vector
 inserts or deletes it; order does not matter. The sign lanes also estimate inner products, hence a likeness.
 
 Defined cases: NULL texts are empty; an empty text has the zero fingerprint, and two zero fingerprints are
@@ -41,29 +41,29 @@ def combine(parts: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
     n = len(h)
     wide = np.ascontiguousarray(h[:, : WIDE * 8]).view("<u8").sum(axis=0, dtype=np.uint64)
     ones = np.unpackbits(h[:, WIDE * 8 :], axis=1).sum(axis=0, dtype=np.int64)
-    return np.concatenate([[np.uint64(n)], wide]), (2 * ones - n).astype(np.uint16)
+    return np.concatenate([[np.uint64(n)], wide]), (2 * ones - n).astype(np.uint32)
 
 
 def add(a, b, times: int = 1):
     """``a`` with ``b``'s paragraphs inserted (``times`` 1) or deleted (-1)."""
     k = np.array(times, dtype=np.int64)
-    return a[0] + b[0] * k.astype(np.uint64), a[1] + b[1] * k.astype(np.uint16)
+    return a[0] + b[0] * k.astype(np.uint64), a[1] + b[1] * k.astype(np.uint32)
 
 
 def to_text(f) -> str:
-    return f[0].astype("<u8").tobytes().hex() + f[1].astype("<u2").tobytes().hex()
+    return f[0].astype("<u8").tobytes().hex() + f[1].astype("<u4").tobytes().hex()
 
 
 def from_text(s: str):
     raw = bytes.fromhex(s)
-    return np.frombuffer(raw[: 8 * (WIDE + 1)], "<u8").copy(), np.frombuffer(raw[8 * (WIDE + 1) :], "<u2").copy()
+    return np.frombuffer(raw[: 8 * (WIDE + 1)], "<u8").copy(), np.frombuffer(raw[8 * (WIDE + 1) :], "<u4").copy()
 
 
 def likeness(a, b) -> float:
     """``1 - |a-b|^2 / (|a|^2 + |b|^2)`` from the sign lanes, held within 0 and 1; equal fingerprints: 1."""
     if np.array_equal(a[0], b[0]) and np.array_equal(a[1], b[1]):
         return 1.0
-    x, y = a[1].astype(np.int16).astype(np.float64), b[1].astype(np.int16).astype(np.float64)
+    x, y = a[1].astype(np.int32).astype(np.float64), b[1].astype(np.int32).astype(np.float64)
     whole = float(x @ x + y @ y)
     return min(1.0, max(0.0, 2.0 * float(x @ y) / whole)) if whole else 0.0
 

@@ -22,10 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, stage, unstage
+from .common import fresh, id_text, stage, unstage
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 #: Fingerprints a block holds; two blocks are compared in memory at once.
@@ -50,17 +50,22 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return sum(1 << int(b) for b in np.flatnonzero(2 * ones > len(hashes)))
 
 
+def text_mark(text: Column) -> Column:
+    """A hash of the text; NULL counts as empty."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fp``: the fingerprint as a signed long."""
+    """``doc_id``, ``mark`` (a hash of the text) and ``fp``: the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                fp = np.array([fingerprint(t, shingle) for t in part.column(1).to_pylist()], dtype=np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+                fp = np.array([fingerprint(t, shingle) for t in part.column(2).to_pylist()], dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fp.view(np.int64))], names=["doc_id", "mark", "fp"])
 
-    return id_text(docs).mapInArrow(run, "doc_id long, fp long")
+    return id_text(docs).select("doc_id", text_mark(F.col("text")).alias("mark"), "text").mapInArrow(run, "doc_id long, mark long, fp long")
 
 
 def _offsets(radius: int) -> list[tuple[int, ...]]:
@@ -158,12 +163,31 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (hex), ``component_id`` (smallest id in the component)."""
+def clusters(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """``doc_id``, ``mark``, ``fp``, ``root`` (a fingerprint that names the component), ``component_id`` (its smallest id)."""
     prints = stage(fingerprints(docs, shingle), "simhash")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(links(distinct.select("fp"), radius, block))
     placed = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    found = placed.join(least, "root").select("fp", "component_id")
-    return prints.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    found = placed.join(least, "root").select("fp", "root", "component_id")
+    return prints.join(found, "fp").select("doc_id", "mark", "fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (hex), ``component_id`` (smallest id in the component)."""
+    found = clusters(docs, shingle, radius, block)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs``, all columns, that stand for their component: of the smallest id (NULL after all others)
+    the text of the smallest mark, once however often the row repeats. Documents that share an id but no component
+    are separate."""
+    found = clusters(docs, shingle, radius, block)
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("s"))
+    mark, key, kept = fresh(docs, "__mark", "__id", "__kept")
+    best = best.select(F.col("s.doc_id").alias(key), F.col("s.mark").alias(kept))
+    rows = docs.withColumn(mark, text_mark(F.col("text")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(key)) & (F.col(mark) == F.col(kept))
+    return rows.join(best, same, "left_semi").dropDuplicates(["doc_id", mark]).drop(mark)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, stage, unstage, without
+from .common import fresh, id_text, stage, unstage
 
 WINDOW = 200
 PIECES = 128  # pieces a window holds; a power of two
@@ -240,14 +240,14 @@ def whole_characters(data: bytes, ranges: list[tuple[int, int]]) -> list[tuple[i
     return out
 
 
-def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    return df.withColumn("__key", F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63)))).withColumn("__mark", F.xxhash64(text))
+def _keyed(df: DataFrame, key: str, mark: str) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return df.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).withColumn(mark, F.xxhash64(text))
 
 
 def window_digest(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` (long), ``kept_sha256``."""
-    src = _keyed(id_text(docs), "doc_id", "text")
+    src = _keyed(id_text(docs), "__key", "__mark")
     spans = removed_spans(src.select(F.col("__key").alias("key"), F.col("__mark").alias("mark"), "text"), window)
     both = src.join(spans.withColumnsRenamed({"key": "__key", "mark": "__mark"}), ["__key", "__mark"], "left")
 
@@ -269,22 +269,23 @@ def window_digest(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def drop_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents with all their columns, every repeated window cut out of ``text`` (whole characters only)
     and ``n_chars``, if there is one, counted anew."""
-    src = _keyed(docs, "doc_id", "text")
-    spans = removed_spans(src.select(F.col("__key").alias("key"), F.col("__mark").alias("mark"), F.col("text").cast("string").alias("text")), window)
-    spans = spans.withColumnsRenamed({"key": "__key", "mark": "__mark", "spans": "__spans"})
-    both = src.join(spans, ["__key", "__mark"], "left").drop("__key", "__mark")
+    key, mark, held = fresh(docs, "__key", "__mark", "__spans")
+    src = _keyed(docs, key, mark)
+    spans = removed_spans(src.select(F.col(key).alias("key"), F.col(mark).alias("mark"), F.col("text").cast("string").alias("text")), window)
+    spans = spans.withColumnsRenamed({"key": key, "mark": mark, "spans": held})
+    both = src.join(spans, [key, mark], "left").drop(key, mark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at = b.schema.get_field_index("text")
             texts = b.column(at).to_pylist()
-            for i, s in enumerate(b.column(b.schema.get_field_index("__spans"))):
+            for i, s in enumerate(b.column(b.schema.get_field_index(held))):
                 if s.values is not None and len(s.values):
                     data = texts[i].encode("utf-8", "surrogatepass")
                     texts[i] = cut(data, whole_characters(data, merged(s.values, window, len(data)))).decode("utf-8", "surrogatepass")
             cols = [pa.array(texts, pa.string()) if k == at else b.column(k) for k in range(b.num_columns)]
-            keep = [k for k, f in enumerate(b.schema) if f.name != "__spans"]
+            keep = [k for k, f in enumerate(b.schema) if f.name != held]
             yield pa.RecordBatch.from_arrays([cols[k] for k in keep], names=[b.schema[k].name for k in keep])
 
-    out = both.mapInArrow(run, without(both, "__spans").schema)
+    out = both.mapInArrow(run, both.drop(held).schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

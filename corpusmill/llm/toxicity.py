@@ -10,11 +10,12 @@ calibrated by isotonic regression.
 
 Defined cases: NULL and empty texts, and texts without any chosen term, get the calibrated base score of such
 texts; repeated label rows count once (toxic if any says so); labels that are NULL or without a document are
-left out; with no labels every score is 0; with equal cosine the earlier example in the index is nearer; other columns are ignored.
+left out; with no labels every score is 0; examples of equal cosine are taken by a hash of their ids, never by their labels; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -145,8 +146,9 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 class Scorer:
     def __init__(self, names: list[str], idf: np.ndarray, examples: list[tuple[dict, int]], held: list[tuple[dict, int]], nearest: int):
+        """``examples`` come in an order that does not depend on their labels; it breaks ties."""
         self.terms, self.idf, self.k = Terms(names), idf, nearest
-        seen = sorted(((self.unit(c), y) for c, y in examples if c), key=lambda e: (max(e[0], key=e[0].get), e[1]))
+        seen = sorted(((self.unit(c), y) for c, y in examples if c), key=lambda e: max(e[0], key=e[0].get))
         self.index = BlockMaxIndex([v for v, _ in seen], len(idf))
         self.labels = np.array([y for _, y in seen], dtype=float)
         self.cache: dict = {}
@@ -251,7 +253,7 @@ def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: i
     counts = dict(id_text(docs).select("text").mapInArrow(frequencies, "t long, n long").groupBy("t").agg(F.sum("n")).collect())
     idf = np.array([np.log((1.0 + counts.get(-1, 0)) / (1.0 + counts.get(i, 0))) + 1.0 for i in range(len(names))])
     table = rows.select("doc_id", "toxic", "text").mapInArrow(vectors, "doc_id long, toxic int, t array<long>, n array<long>").toArrow().to_pylist()
-    table.sort(key=lambda r: r["doc_id"])
+    table.sort(key=lambda r: (hashlib.sha256(str(r["doc_id"]).encode()).digest(), r["doc_id"]))
     sets: tuple[list, list] = ([], [])
     for r in table:
         sets[zlib.crc32(str(r["doc_id"]).encode()) % 3 == 2].append((dict(zip(r["t"], r["n"])), r["toxic"]))

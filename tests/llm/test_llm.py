@@ -65,6 +65,33 @@ def test_multi_index(spark):
     assert multi_index.search(df.where("vec_id < 0"), lambda v: v % 50 == 0).count() == 0
 
 
+def test_multi_index_repeated_rows(spark):
+    """Repeated rows take no places, copies go by id, and an id with several vectors counts by its best."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(200, 6)).round(2)
+    x[:8] = x[0]
+    rows = [(i, [float(v) for v in r], "extra") for i, r in enumerate(x)]
+    rows += [rows[1]] * 8 + [(60, rows[61][1], "extra")] * 3 + [(70 + i % 2, [float(i), 1.0, 0.0, 0.0, 0.0, 0.5], "more") for i in range(30)]
+    rows += [(i, rows[50][1], "copy") for i in (900, 901) for _ in range(9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string")
+    per = collections.defaultdict(list)
+    for i, v, _ in rows:
+        per[i].append(np.array(v))
+
+    def cos(q, i):
+        return max(float((a * b).sum() / (np.sqrt((a * a).sum()) * np.sqrt((b * b).sum()))) for a in per[q] for b in per[i])
+
+    for block in (multi_index.BLOCK, 16):
+        got = multi_index.search(df, lambda v: v % 10 == 0, coverage=1.0, block=block).collect()
+        assert {r.query_id for r in got} == {i for i in per if i % 10 == 0}
+        for q in {r.query_id for r in got}:
+            mine = sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])
+            all_of = {i: cos(q, i) for i in per if i != q}
+            want = sorted(all_of, key=lambda i: (-all_of[i], i))[:5]
+            assert [r["vec_id"] for r in mine] == want, q
+            assert np.allclose([r["score"] for r in mine], [all_of[i] for i in want])
+
+
 def test_simhash(spark, docs, none, small):
     for df in (docs, small):
         got = simhash.near_duplicates(df, block=8).collect()
@@ -113,6 +140,18 @@ def test_multiset_hash(docs, none, small):
     assert multiset_hash.fingerprint_edits(none).count() == 0
 
 
+def test_multiset_likeness():
+    """Likeness against true multisets, very long repeats included."""
+    long, half = multiset_hash.combine([b"line"] * 40_000), multiset_hash.combine([b"line"] * 20_000)
+    assert multiset_hash.likeness(long, half) == pytest.approx(0.8)
+    assert multiset_hash.to_text(multiset_hash.from_text(multiset_hash.to_text(long))) == multiset_hash.to_text(long)
+    rng = np.random.default_rng(8)
+    for shared in (0, 50, 150, 200):
+        a = [b"s%d" % i for i in range(shared)] + [b"a%d" % i for i in rng.integers(0, 1 << 40, 200 - shared)]
+        b = [b"s%d" % i for i in range(shared)] + [b"b%d" % i for i in rng.integers(0, 1 << 40, 200 - shared)]
+        assert abs(multiset_hash.likeness(multiset_hash.combine(a), multiset_hash.combine(b)) - shared / 200) < 0.3
+
+
 def _windows(texts, w):
     count = collections.Counter(b[p : p + w] for b in texts for p in range(len(b) - w + 1))
     for b in texts:
@@ -186,6 +225,18 @@ def test_toxicity(spark, docs, none):
     assert toxicity.drop_toxic(docs, marks.where("false")).count() == len(ROWS)
 
 
+def test_toxicity_ties_ignore_labels(spark):
+    """Equal examples vote by the share of toxic ones among them, whatever the order of the labels."""
+    same = {0: 1}
+    scorers = [toxicity.Scorer(["moron"], np.array([1.0]), [(same, y) for y in order], [], 15) for order in ([0, 1] * 40, [1, 0] * 40)]
+    assert all(0.4 < s.vote(same)[0] < 0.6 for s in scorers)
+    rows = [(i, "you stupid moron " * 3) for i in range(300)] + [(i, "a fine day here") for i in range(300, 600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i < 300 and i % 4 > 0)) for i in range(600)], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score_documents(df, marks).collect()}
+    assert 0.5 < got[0] < 1 and got[0] == got[1] and got[400] < 0.1
+
+
 def test_feistel(docs, none, small):
     for n in (1, 2, 24, 1000, 4097):
         p = feistel_shards.Feistel(n)
@@ -259,6 +310,40 @@ def test_lm_difference_is_exact(docs, small):
         assert np.allclose([g[2:] for g in got], [w[2:] for w in sorted(want)])
 
 
+def test_near_copies_by_brute_force(spark, docs, small):
+    """The pipeline's second stage keeps one row of each component; equal ids with other texts are other documents."""
+    text = " ".join(f"alpha{i}" for i in range(60))
+    same = [(1, text, "en"), (1, "one two three four five", "en"), (2, "one two three four five", "en"), (3, "red green blue", "en"), (None, "red green blue", "en"), (None, "lonely text", "en"), (None, "lonely text", "fr"), (1, text, "de")]
+    ids = spark.createDataFrame([(i, t, g, "a", "b", "c", 1, "x", "y") for i, t, g in same], SCHEMA + ", __mark string, __id string")
+    for df in (ids, docs, small):
+        rows = [(r.doc_id, r.text) for r in df.collect()]
+        fp = np.array([simhash.fingerprint(t) for _, t in rows], dtype=np.uint64)
+        near = np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 3
+        group = np.arange(len(rows))
+        while True:
+            low = np.array([group[n].min() for n in near])
+            if (low == group).all():
+                break
+            group = low
+        out = corpus_pipeline.drop_near_copies(spark, df, SF_SMALL)
+        assert out.columns == df.columns
+        got = [(r.doc_id, r.text) for r in out.collect()]
+        where = {(i, t or ""): g for (i, t), g in zip(rows, group)}
+        assert sorted(where[i, t or ""] for i, t in got) == sorted(set(group))
+        for i, t in got:
+            mine = [j for (j, _), g in zip(rows, group) if g == where[i, t or ""]]
+            assert i == min((j for j in mine if j is not None), default=None)
+
+
+def test_helper_columns_stay(spark):
+    """Columns named like the operators' helpers come through unchanged."""
+    names = ["__b", "__i", "__first", "__n", "__key", "__mark", "__spans", "__id", "__kept"]
+    df = spark.createDataFrame([(i, f"text {i} " + "same passage " * 40, *[f"{n}{i}" for n in names]) for i in range(6)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    want = sorted(tuple(r) for r in df.select("doc_id", *names).collect())
+    for out in (suffix_dedup.drop_repeats(df), feistel_shards.shard_rows(df, ["doc_id"], 3)):
+        assert sorted(tuple(r) for r in out.select("doc_id", *names).collect()) == want
+
+
 def test_pipeline(spark, docs, none):
     for df in (docs, none):
         now = df
