@@ -8,7 +8,6 @@ are never toxic beyond their base score, they are near-duplicates of each other,
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from corpusmill.llm import length_packing, simhash, suffix_dedup, toxicity
 from corpusmill.llm.common import read_table, stage
@@ -20,12 +19,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: of each component the document with the smallest id stays. Rows that repeat that id stay
-    once, and rows without an id are kept unless their component has a document with one."""
-    found = simhash.near_duplicates(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    rows = docs.join(kept.withColumnRenamed("doc_id", "__kept"), F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    return rows.dropDuplicates(["doc_id"]) if docs.where("doc_id IS NULL").isEmpty() else rows.where("doc_id IS NULL").unionByName(rows.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+    """Operator 2: one document of each component stays, the one with the smallest id. Documents of equal id and
+    different texts are separate documents; a component without any id keeps one document too."""
+    return simhash.one_of_each(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +36,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", drop_toxic), ("simhash near-dedup", drop_near_copies), ("suffix-array dedup", cut_repeats), ("packing", pack)]
 
-#: No stage but the last can be written as SQL; tests compare the stages with brute force.
+#: The first three stages cannot be written as SQL; tests compare them with brute force.
 ORACLE_SQL = None
 
 
