@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import dedup as D
@@ -11,6 +12,7 @@ from ..operators import reshape as R
 from ..oracle import dedup_sql as DS
 from ..oracle import text_sql as S
 from ..schema import ORDER
+from ..session import write_table
 from .registry import register
 from .tables import table
 
@@ -24,7 +26,7 @@ def _docs(spark, sf_dir):
 
 @register("dedup_exact", "D1", f"SELECT doc_id, source, text FROM ({EXACT_SQL}) AS e")
 def q_dedup_exact(spark, sf_dir):
-    return D.dedup_exact(_docs(spark, sf_dir), text="text", order="doc_id")
+    return D.dedup_exact(_docs(spark, sf_dir), text="text", order="doc_id", materialize=False)
 
 
 def _sig_sql():
@@ -37,7 +39,7 @@ def _sig_sql():
     lambda: f"SELECT doc_id, array_to_string(signature, ',') AS signature FROM ({_sig_sql()}) AS s",
 )
 def q_minhash_signature(spark, sf_dir):
-    d = D.dedup_exact(_docs(spark, sf_dir), text="text", order="doc_id")
+    d = D.dedup_exact(_docs(spark, sf_dir), text="text", order="doc_id", materialize=False)
     return d.select("doc_id", F.array_join(D.minhash_signature("text").cast("array<string>"), ",").alias("signature"))
 
 
@@ -46,7 +48,7 @@ def _bands_sql():
 
 
 def _bands(spark, sf_dir, binary=True):
-    d = D.dedup_exact(_docs(spark, sf_dir), text="text", order="doc_id")
+    d = D.dedup_exact(_docs(spark, sf_dir), text="text", order="doc_id", materialize=False)
     sig = d.select("doc_id", D.minhash_signature("text").alias("signature"))
     return D.lsh_bands(sig, ["doc_id"], binary=binary)
 
@@ -75,7 +77,7 @@ def q_lsh_candidates(spark, sf_dir):
     lambda: f"SELECT doc_id FROM ({DS.greedy_kept_select(_bands_sql(), 'doc_id')}) AS k",
 )
 def q_dedup_near_greedy(spark, sf_dir):
-    d = D.dedup_exact(_docs(spark, sf_dir), text="text", order="doc_id")
+    d = D.dedup_exact(_docs(spark, sf_dir), text="text", order="doc_id", materialize=False)
     return D.dedup_near_greedy(d, text="text", order="doc_id").select("doc_id")
 
 
@@ -116,7 +118,31 @@ def q_dedup_by_adaptation(spark, sf_dir):
     return out.withColumn("shuffle_key", D.shuffle_key(ORDER))
 
 
-@register("shuffle_seeded", "O1", "SELECT doc_id, md5('42|' || doc_id) AS shuffle_key FROM documents")
+@register(
+    "shuffle_seeded",
+    "O1",
+    "SELECT *, md5('42|' || doc_id) AS shuffle_key, row_number() OVER (ORDER BY md5('42|' || doc_id), doc_id) - 1 AS shuffle_rank FROM documents",
+)
 def q_shuffle_seeded(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id")
-    return D.shuffle_seeded(d, order="doc_id").select("doc_id", D.shuffle_key("doc_id").alias("shuffle_key"))
+    """Whole rows in shuffled order, each with its place as it was read off the shuffled partitions."""
+    shuffled = D.shuffle_seeded(table(spark, sf_dir, "documents"), order="doc_id")
+    return read_ranks(shuffled).withColumn("shuffle_key", D.shuffle_key("doc_id"))
+
+
+def read_ranks(shuffled, rank: str = "shuffle_rank"):
+    """Number the rows as they lie in the shuffled partitions, one after the other."""
+    rows = write_table(shuffled.withColumn("__place", F.monotonically_increasing_id()), "shuffled")
+    rows = rows.withColumn("__p", F.shiftright("__place", 33))
+    sizes = rows.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__first"))
+    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    starts = sizes.select("__p", (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__shift"))
+    return rows.join(F.broadcast(starts), "__p").withColumn(rank, F.col("__place") + F.col("__shift")).drop("__p", "__place", "__shift")
+
+
+@register(
+    "shuffle_ranked",
+    "O1",
+    "SELECT doc_id, text, row_number() OVER (ORDER BY md5('42|' || doc_id), doc_id) - 1 AS shuffle_rank FROM documents",
+)
+def q_shuffle_ranked(spark, sf_dir):
+    return D.shuffle_ranked(table(spark, sf_dir, "documents").select("doc_id", "text"), order="doc_id")

@@ -14,6 +14,7 @@ from ..oracle import dedup_sql as DS
 from ..oracle import reshape_sql as RS
 from ..oracle import stats_sql as SS
 from ..oracle import text_sql as S
+from ..session import write_table
 from ..schema import ORDER
 from ..sources.catalog import catalog_from_corpus
 from .registry import register
@@ -151,8 +152,8 @@ UNION ALL SELECT 'dedup_exact', source, count(*)::BIGINT, 7::BIGINT FROM ({_exac
 )
 def q_shape_report(spark, sf_dir):
     raw = _raw(spark, sf_dir)
-    filt = cleaned(spark, sf_dir)
-    exact = D.dedup_exact(filt, "input", ORDER)
+    filt = write_table(cleaned(spark, sf_dir), "cleaned")  # cleaned once for both later stages
+    exact = D.dedup_exact(filt, "input", ORDER, materialize=False)
     return ST.shape_report({"raw": raw, "filtered": filt, "dedup_exact": exact})
 
 

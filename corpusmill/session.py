@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "corpusmill") -> SparkSession:
@@ -54,3 +56,32 @@ def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint root for written intermediate tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/corpusmill-stage/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the shared checkpoint folder and read it back: its lineage ends here."""
+    path = staging_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A ``write_table`` whose tables are deleted on leaving the block."""
+    paths: list[str] = []
+
+    def write(df: DataFrame, name: str) -> DataFrame:
+        paths.append(staging_path(spark, name))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield write
+    finally:
+        for path in paths:
+            delete_path(spark, path)

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.operators import dedup as D
@@ -41,12 +42,52 @@ def test_greedy_fixpoint_equals_sequential_scan(spark):
 
 def test_long_chain_by_rounds(spark):
     # edge i~i+1 is bucket (i % 2, "e<i>"): each row sits in two buckets (one per band), a path of 300
-    for n in (300, 40):
+    for n, block_rows, most in ((300, D.BLOCK_ROWS, 1), (300, 20, 16), (40, 7, 7)):
         chain = [(i, {((i - 1) % 2, f"e{i - 1}"), (i % 2, f"e{i}")}) for i in range(n)]
-        dropped, rounds = D.greedy_dropped(_bands_frame(spark, chain))
+        dropped, rounds = D.greedy_dropped(_bands_frame(spark, chain), block_rows=block_rows)
         kept = sorted(set(range(n)) - {r[0] for r in dropped.collect()})
         assert kept == brute_greedy(chain) == list(range(0, n, 2))
-        assert rounds == n // 2
+        assert rounds <= most
+
+
+def test_greedy_over_many_blocks(spark):
+    """Random rows in blocks of a few: equal to the sequential scan, with struct orders too."""
+    rng = random.Random(11)
+    rows = [(o, {(b, f"k{rng.randint(0, 60)}") for b in range(3)}) for o in range(160)]
+    want = brute_greedy(rows)
+    flat = _bands_frame(spark, rows)
+    for block_rows in (5, 40):
+        dropped, rounds = D.greedy_dropped(flat, block_rows=block_rows)
+        assert sorted(set(range(160)) - {r[0] for r in dropped.collect()}) == want and rounds <= -(-160 // block_rows) + 3
+    struct = flat.withColumn("row_order", F.struct(F.lit("f").alias("file"), F.col("row_order").alias("pos")))
+    dropped, _ = D.greedy_dropped(struct, block_rows=40)
+    assert sorted(set(range(160)) - {r[0].pos for r in dropped.collect()}) == want
+
+
+def test_scratch_tables_are_removed(spark):
+    import glob
+
+    from corpusmill.session import ensure_checkpoint_dir
+
+    root = ensure_checkpoint_dir(spark).replace("file:", "") + "/corpusmill-stage/"
+    rows = [(o, {(0, f"k{o // 3}"), (1, f"m{o % 7}")}) for o in range(60)]
+    before = set(glob.glob(root + "*"))
+    D.greedy_dropped(_bands_frame(spark, rows), block_rows=8)
+    assert [p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in set(glob.glob(root + "*")) - before] == ["near-dropped"]
+
+
+def test_shared_orders_are_refused(spark):
+    for rows in ([(1, "a b c"), (1, "d e f"), (2, "g")], [(None, "a"), (2, "b")]):
+        df = spark.createDataFrame(rows, "row_order long, input string")
+        for run in (D.dedup_exact, D.dedup_near_greedy):
+            with pytest.raises(ValueError, match="row order"):
+                run(df)
+
+
+def test_null_texts_are_one_text(spark):
+    df = spark.createDataFrame([(1, None), (2, None), (3, ""), (4, "")], "row_order long, input string")
+    assert sorted(r.row_order for r in D.dedup_exact(df).collect()) == [1, 3]
+    assert D.dedup_exact(df.where("false")).count() == 0 and D.dedup_near_greedy(df.where("false")).count() == 0
 
 
 def test_greedy_chain_and_hot_bucket(spark):
@@ -118,6 +159,16 @@ def test_shuffle_is_deterministic_across_partitionings(spark):
     assert a == b and sorted(a) == list(range(500)) and a != list(range(500))
 
 
+def test_shuffle_ranks(spark):
+    df = spark.range(700).selectExpr("id AS row_order", "concat('text ', id) AS text")
+    want = [r.row_order for r in D.shuffle_seeded(df).collect()]
+    for n in (1, 5, 64):
+        assert [r.row_order for r in D.shuffle_seeded(df, partitions=n).collect()] == want
+        ranked = D.shuffle_ranked(df, partitions=n).collect()
+        assert [r.row_order for r in sorted(ranked, key=lambda r: r.shuffle_rank)] == want
+        assert sorted(r.shuffle_rank for r in ranked) == list(range(700))
+
+
 def test_near_dedup_independent_of_shuffle_partitions(spark):
     from tests.conftest import SF_SMALL
 
