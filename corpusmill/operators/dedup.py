@@ -80,7 +80,8 @@ def token_hashes(text: Column) -> Column:
     return F.array_distinct(hashes)
 
 
-def _minhash_lists(arr: pa.Array, a: np.ndarray, b: np.ndarray, chunk: int = 1 << 15) -> pa.Array:
+def _minhash_lists(arr: pa.Array, a: np.ndarray, b: np.ndarray, chunk: int = 1 << 9) -> pa.Array:
+    """Signatures of lists of hashes. ``chunk`` hashes meet all permutations at once, few enough for the CPU's cache."""
     k = len(a)
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks()
@@ -93,10 +94,17 @@ def _minhash_lists(arr: pa.Array, a: np.ndarray, b: np.ndarray, chunk: int = 1 <
     if len(rows):
         starts, ends = offsets[rows], offsets[rows + 1]
         lo, hi = int(offsets[0]), int(offsets[-1])
+        product, high = np.empty((chunk, k), np.int64), np.empty((chunk, k), np.int64)
         for c0 in range(lo, hi, chunk):
             c1 = min(c0 + chunk, hi)
-            h = values[c0:c1]
-            m = (h[:, None] * a[None, :] + b[None, :]) % MERSENNE_P
+            m, top = product[: c1 - c0], high[: c1 - c0]
+            np.multiply(values[c0:c1, None], a[None, :], out=m)
+            m += b
+            for _ in range(2):  # modulo 2^31 - 1: the high bits count once more
+                np.right_shift(m, 31, out=top)
+                m &= MERSENNE_P
+                m += top
+            m[m == MERSENNE_P] = 0
             i0 = np.searchsorted(ends, c0, side="right")
             i1 = np.searchsorted(starts, c1, side="left")
             seg = rows[i0:i1]
