@@ -139,16 +139,19 @@ def tsv_tokens_to_sentences(lines: DataFrame, file: str = "file", pos: str = "po
 
 # --- P8 ---------------------------------------------------------------------
 def token_rows_to_documents(
-    df: DataFrame, document: str = "document_id", tokens: str = "tokens", order: str = ORDER
+    df: DataFrame, document: str = "document_id", tokens: str = "tokens", order: str = ORDER, first: str | None = None
 ) -> DataFrame:
-    """Each row's tokens joined by a space (scalars as text), rows of a document joined by newline."""
+    """Each row's tokens joined by a space (scalars as text), rows of a document joined by newline.
+
+    ``first`` names a column for the order of the document's first row."""
     tok_type = df.schema[tokens].dataType
     line = F.array_join(F.col(tokens), " ") if isinstance(tok_type, ArrayType) else F.col(tokens).cast("string")
     return df.groupBy(document).agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("l")))), lambda x: x["l"]),
             "\n",
-        ).alias("input")
+        ).alias("input"),
+        *([F.min(order).alias(first)] if first else []),
     )
 
 

@@ -18,7 +18,7 @@ from ..operators.filters import filter_adaptation_type, filter_empty_rows
 from ..operators.stats import corpus_stats, observe_rows, stats_global
 from ..schema import CANONICAL, FINE_TUNING, INSTRUCTION_TUNING, ORDER, check_adaptation_type
 from ..sources.catalog import SourceRegistry, catalog_select, ingest_fanout, license_catalog
-from ..sources.files import read_table, scan_local_dispatch, scan_parquet, write_by_source, write_stats_csv, write_training_set
+from ..sources.files import read_by_source, read_table, scan_local_dispatch, scan_parquet, write_by_source, write_stats_csv, write_training_set
 
 CLEAN_COLUMNS = {FINE_TUNING: ["input"], INSTRUCTION_TUNING: ["instruction", "input", "output"]}
 
@@ -94,9 +94,8 @@ def default_registry(lake_root: str, local_root: str = ".") -> SourceRegistry:
     @reg.register("DEFT2021")
     def deft2021(spark, entry, data_dir, split):
         rows = hub(spark, entry, data_dir, split)
-        docs = R.token_rows_to_documents(rows, "document_id", "tokens", ORDER)
-        order = F.struct(F.lit(None).cast("string").alias("file"), F.xxhash64("document_id").alias("pos"))
-        return R.canonical_projection(docs, entry["source"], data_dir, split, "input", order=order)
+        docs = R.token_rows_to_documents(rows, "document_id", "tokens", ORDER, first="first_row")
+        return R.canonical_projection(docs, entry["source"], data_dir, split, "input", order=F.col("first_row"))
 
     @reg.register("FRENCHMEDMCQA")
     def frenchmedmcqa(spark, entry, data_dir, split):
@@ -126,8 +125,8 @@ def build_sourced(
     report: dict | None = None,
 ) -> DataFrame:
     """Job 1: select (S1) and licence-filter (S2) the catalog, load every entry (S8), clean the
-    columns of its adaptation type (T18), drop empty rows (F1/F2), union (U2) and write one
-    Parquet dataset per source (S9) when ``out_root`` is given.
+    columns of its adaptation type (T18), drop empty rows (F1/F2), union (U2) and, when ``out_root`` is
+    given, publish it as the current corpus of its licence (S9). A build of one ``source`` replaces that source.
 
     With ``report`` (a dict) and ``out_root``, the row counts per source before and after the
     empty-row filter (A9) are filled in from ``observe()`` metrics of the write itself.
@@ -135,24 +134,25 @@ def build_sourced(
     cat = license_catalog(catalog_select(catalog, source), make_commercial)
     observations: list = []
 
-    def finish(df: DataFrame, entry: dict) -> DataFrame:
-        kind = check_adaptation_type(entry["adaptation_type"])
-        cleaned = clean_columns(R.cast_null_columns(df), CLEAN_COLUMNS[kind])
-        if report is not None:
-            cleaned, before = observe_rows(cleaned, f"{entry['source']}:loaded")
-        kept = filter_empty_rows(cleaned, kind).select(*CANONICAL, ORDER)
-        if report is not None:
-            kept, after = observe_rows(kept, f"{entry['source']}:non_empty")
-            observations.append((entry["source"], before, after))
-        return kept
+    def counted(df: DataFrame, sources: list[str], stage: str) -> DataFrame:
+        if report is None:
+            return df
+        df, seen = observe_rows(df, f"{stage}:{len(observations)}", by="source", values=sources)
+        observations.append((stage, sources, seen))
+        return df
 
-    corpus = ingest_fanout(spark, cat, registry, per_source=finish)
+    def finish(df: DataFrame, kind: str, sources: list[str]) -> DataFrame:
+        check_adaptation_type(kind)
+        cleaned = counted(clean_columns(R.cast_null_columns(df), CLEAN_COLUMNS[kind]), sources, "loaded")
+        return counted(filter_empty_rows(cleaned, kind).select(*CANONICAL, ORDER), sources, "non_empty")
+
+    corpus = ingest_fanout(spark, cat, registry, per_kind=finish)
     if out_root:
-        write_by_source(corpus, out_root)
-        if report is not None:
-            for name, before, after in observations:
-                report[name] = {"loaded": before.get["nb_rows"], "non_empty": after.get["nb_rows"]}
-        return spark.read.parquet(out_root)
+        write_by_source(corpus, out_root, make_commercial, None if source is None else [source])
+        for stage, sources, seen in observations:
+            for i, name in enumerate(sources):
+                report.setdefault(name, {})[stage] = seen.get[f"n{i}"]
+        return read_by_source(spark, out_root, make_commercial)
     return corpus
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators import dedup as D
 from ..operators import filters as FL
 from ..operators import reshape as R
 from ..operators import stats as ST
@@ -60,10 +61,10 @@ def q_catalog_select(spark, sf_dir):
     )
 
 
-@register("license_filter", "S2", f"SELECT doc_id, source FROM documents WHERE {COMMERCIAL_SQL}")
+@register("license_filter", "S2", f"SELECT * FROM documents WHERE {COMMERCIAL_SQL}")
 def q_license_filter(spark, sf_dir):
     cat = C.license_catalog(_catalog(spark, sf_dir), make_commercial=True)
-    return C.license_filter(_docs(spark, sf_dir), cat, make_commercial=True).select("doc_id", "source")
+    return C.license_filter(_docs(spark, sf_dir), cat, make_commercial=True)
 
 
 def _mixed_corpus(spark, sf_dir) -> DataFrame:
@@ -148,7 +149,7 @@ def q_scan_local_dispatch(spark, sf_dir):
 @register("scan_parquet", "S6", f"SELECT doc_id, source, text FROM documents WHERE {COMMERCIAL_SQL}")
 def q_scan_parquet(spark, sf_dir):
     root = staging_path(spark, "by-source")
-    FS.write_by_source(_docs(spark, sf_dir).select("doc_id", "text", "source"), root)
+    _docs(spark, sf_dir).select("doc_id", "text", "source").write.partitionBy("source").parquet(root)
     commercial = [r.source for r in C.license_catalog(_catalog(spark, sf_dir), True).select("source").collect()]
     paths = [f"{root}/source={s}" for s in sorted(commercial)]  # bounded: one path per catalog source
     df = FS.scan_parquet(spark, paths).withColumn("source", F.regexp_extract(F.col("_metadata.file_path"), r"source=([^/]+)", 1))
@@ -166,26 +167,43 @@ def q_scan_remote_tables(spark, sf_dir):
     return R.canonical_projection(d, F.col("source"), None, "train", "text", order="doc_id")
 
 
-def _documents_loader(docs: DataFrame):
-    def load(spark, entry, data_dir, split):
-        part = docs.where((F.col("source") == entry["source"]) & (F.col("lang") == data_dir))
-        return R.canonical_projection(part, entry["source"], data_dir, split, "text", order="doc_id")
+#: The stand-in catalog's order: not that of the names.
+PLACE_SQL = "row_number() OVER (ORDER BY md5(source || '#')) - 1"
 
-    return load
+
+def _placed_catalog(spark, sf_dir):
+    return C.catalog_from_corpus(_docs(spark, sf_dir), subset="lang", place=F.md5(F.concat("source", F.lit("#"))))
+
+
+def _ingested(spark, sf_dir, catalog):
+    """All sources lie in one table, so one scan serves the whole catalog."""
+    names = [r.source for r in catalog.select("source").collect()]  # bounded metadata
+    read = C.SharedInput(lambda s: R.canonical_projection(_docs(s, sf_dir), F.col("source"), F.col("lang"), "train", "text", order="doc_id"))
+    return C.ingest_fanout(spark, catalog, C.SourceRegistry({n: read for n in names}))
+
+
+INGESTED_SQL = f"""SELECT d.source, c.source_rank, dense_rank() OVER (PARTITION BY d.source ORDER BY lang) - 1 AS data_dir_rank,
+  0 AS split_rank, lang AS data_dir, 'train' AS source_split, doc_id, text AS input
+FROM documents AS d JOIN (SELECT source, {PLACE_SQL} AS source_rank FROM (SELECT DISTINCT source FROM documents) AS s) AS c USING (source)"""
+
+
+@register("ingest_fanout", "S8", INGESTED_SQL)
+def q_ingest_fanout(spark, sf_dir):
+    out = _ingested(spark, sf_dir, _placed_catalog(spark, sf_dir))
+    ranks = [F.col(f"{ORDER}.{r}").cast("bigint").alias(r) for r in ("source_rank", "data_dir_rank", "split_rank")]
+    return out.select("source", *ranks, "data_dir", "source_split", F.col(f"{ORDER}.pos").alias("doc_id"), "input")
 
 
 @register(
-    "ingest_fanout",
+    "ingest_catalog_order",
     "S8",
-    "SELECT source, lang AS data_dir, 'train' AS source_split, doc_id, text AS input FROM documents",
+    f"""SELECT source, doc_id, input FROM ({INGESTED_SQL}) AS i
+QUALIFY row_number() OVER (PARTITION BY input ORDER BY source_rank, data_dir_rank, split_rank, doc_id) = 1""",
 )
-def q_ingest_fanout(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    catalog = _catalog(spark, sf_dir)
-    names = [r.source for r in catalog.select("source").collect()]  # bounded metadata
-    registry = C.SourceRegistry({n: _documents_loader(docs) for n in names})
-    out = C.ingest_fanout(spark, catalog, registry)
-    return out.select("source", "data_dir", "source_split", F.col(f"{ORDER}.pos").alias("doc_id"), "input")
+def q_ingest_catalog_order(spark, sf_dir):
+    """Of a text that several sources have, the source that comes first in the catalog keeps it."""
+    rows = _ingested(spark, sf_dir, _placed_catalog(spark, sf_dir))
+    return D.dedup_exact(rows, "input", ORDER, materialize=False).select("source", F.col(f"{ORDER}.pos").alias("doc_id"), "input")
 
 
 @register(
@@ -219,23 +237,27 @@ def q_source_registry(spark, sf_dir):
     return C.ingest_fanout(spark, catalog, registry).select("source", "input")
 
 
-@register(
-    "write_by_source",
-    "S9",
-    lambda: (
-        f"SELECT source, doc_id, text AS input FROM documents WHERE source <> 'src3' UNION ALL "
-        + S.clean_text_select("SELECT source, doc_id, text FROM documents WHERE source = 'src3'", ["source", "doc_id"], "text", "input")
-    ),
-)
+def _builds_sql():
+    """The commercial corpus after its rebuilds, and the research corpus as first built."""
+    cleaned = S.clean_text_select("SELECT source, doc_id, text FROM documents WHERE source = 'src0'", ["source", "doc_id"], "text", "input")
+    return f"""SELECT 'commercial' AS licence, source, doc_id, text AS input FROM documents WHERE {COMMERCIAL_SQL} AND source NOT IN ('src0', 'src2')
+UNION ALL SELECT 'commercial' AS licence, source, doc_id, input FROM ({cleaned}) AS c WHERE {COMMERCIAL_SQL}
+UNION ALL SELECT 'research' AS licence, source, doc_id, text AS input FROM documents"""
+
+
+@register("write_by_source", "S9", _builds_sql)
 def q_write_by_source(spark, sf_dir):
-    """Write all sources, then rebuild one source: only its partition is replaced."""
+    """A research build, a commercial build into the same root, a commercial rebuild of two sources, one of which
+    (``src2``) has no rows any more; then both corpora as their manifests show them."""
     root = staging_path(spark, "sourced")
     docs = _docs(spark, sf_dir).select("doc_id", F.col("text").alias("input"), "source")
-    FS.write_by_source(docs, root)
-    rebuilt = docs.where(F.col("source") == "src3").withColumn("input", T.clean_text("input"))
-    FS.write_by_source(rebuilt, root)
-    back = spark.read.parquet(root)
-    return back.select("source", "doc_id", "input")
+    commercial = C.license_filter(docs, C.license_catalog(_catalog(spark, sf_dir), True), True)
+    FS.write_by_source(docs, root, make_commercial=False)
+    FS.write_by_source(commercial, root, make_commercial=True)
+    rebuilt = commercial.where(F.col("source") == "src0").withColumn("input", T.clean_text("input"))
+    FS.write_by_source(rebuilt, root, make_commercial=True, sources=["src0", "src2"])
+    both = [FS.read_by_source(spark, root, c).select(F.lit(n).alias("licence"), "source", "doc_id", "input") for n, c in (("commercial", True), ("research", False))]
+    return both[0].unionByName(both[1])
 
 
 @register("write_training_set", "S10", f"SELECT doc_id, text AS input FROM documents WHERE {COMMERCIAL_SQL}")

@@ -6,6 +6,7 @@ from pyspark.sql.types import (
     ArrayType,
     BooleanType,
     DoubleType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -43,6 +44,7 @@ CATALOG_SCHEMA = StructType(
         StructField("adaptation_type", StringType(), False),
         StructField("commercial_use", BooleanType(), False),
         StructField("comment", StringType(), True),
+        StructField("position", IntegerType(), False),  # place in the catalog: the order of the corpus
     ]
 )
 

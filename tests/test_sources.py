@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from corpusmill.operators import dedup as D
 from corpusmill.sources import catalog as C
 from corpusmill.sources import files as FS
 
@@ -75,12 +76,76 @@ def test_write_sized_gzip_round_trip_and_refusal(spark, tmp_dir):
     assert spark.read.text(out).count() == 10
 
 
-def test_write_by_source_replaces_one_partition(spark, tmp_dir):
-    df = spark.createDataFrame([(1, "a", "S1"), (2, "b", "S2")], "doc_id long, input string, source string")
-    FS.write_by_source(df, tmp_dir + "/t")
-    FS.write_by_source(spark.createDataFrame([(3, "c", "S2")], df.schema), tmp_dir + "/t")
-    got = sorted((r.doc_id, r.source) for r in spark.read.parquet(tmp_dir + "/t").collect())
-    assert got == [(1, "S1"), (3, "S2")]
+def _corpus(spark, root, commercial):
+    return sorted((r.doc_id, r.source) for r in FS.read_by_source(spark, root, commercial).collect())
+
+
+def test_write_by_source_builds(spark, tmp_dir):
+    root = tmp_dir + "/t"
+    schema = "doc_id long, input string, source string"
+    df = spark.createDataFrame([(1, "a", "S1"), (2, "b", "S2"), (4, "d", "É/x=1 %"), (5, "e", "007")], schema)
+    FS.write_by_source(df, root, make_commercial=False)
+    FS.write_by_source(df.where("source = 'S1'"), root, make_commercial=True)
+    assert _corpus(spark, root, True) == [(1, "S1")]  # a commercial build never shows research rows
+    assert _corpus(spark, root, False) == [(1, "S1"), (2, "S2"), (4, "É/x=1 %"), (5, "007")]
+    FS.write_by_source(spark.createDataFrame([(3, "c", "S2")], schema), root, False, sources=["S2", "S1"])
+    assert _corpus(spark, root, False) == [(3, "S2"), (4, "É/x=1 %"), (5, "007")]  # replaced and emptied
+    assert [r.doc_id for r in FS.read_by_source(spark, root, False, ["007"]).collect()] == [5]
+    assert len(FS.remove_old_builds(spark, root, False)) == 2
+    assert _corpus(spark, root, False) == [(3, "S2"), (4, "É/x=1 %"), (5, "007")]
+    with pytest.raises(ValueError):
+        FS.write_by_source(df, root, False, sources=["S2"])
+    FS.write_by_source(df.where("false"), root, False)
+    assert _corpus(spark, root, False) == []
+
+
+def test_killed_or_late_builds_change_nothing(spark, tmp_dir, monkeypatch):
+    root = tmp_dir + "/t"
+    df = spark.createDataFrame([(1, "a", "S1")], "doc_id long, input string, source string")
+    with pytest.raises(FileNotFoundError):
+        FS.read_by_source(spark, root, True)
+    FS.write_by_source(df, root, True)
+    failing = df.withColumn("input", F.raise_error(F.lit("killed")).cast("string"))
+    with pytest.raises(Exception):
+        FS.write_by_source(failing, root, True)
+    assert _corpus(spark, root, True) == [(1, "S1")]
+    old = FS.read_manifest(spark, root, True)
+    FS.write_by_source(df.withColumn("doc_id", F.lit(2).cast("long")), root, True)
+    monkeypatch.setattr(FS, "read_manifest", lambda *a: old)  # a build that began before the last one was published
+    with pytest.raises(Exception):
+        FS.write_by_source(df, root, True)
+    monkeypatch.undo()
+    assert _corpus(spark, root, True) == [(2, "S1")]
+
+
+def test_catalog_order_and_shared_input(spark):
+    entries = [{"source": s, "data_dir": ["y", "x"], "source_split": None} for s in ("zeta", "alpha")] + [{"source": "mid", "data_dir": None}]
+    catalog = C.catalog_frame(spark, entries)
+    rows = [("a", "alpha", "x"), ("a", "zeta", "x"), ("b", "alpha", "y"), ("c", "alpha", "x"), ("c", "alpha", "y"), ("c", "mid", "q"), ("d", "mid", None), ("e", "other", "x"), ("f", "zeta", "z")]
+    df = spark.createDataFrame([(t, s, d, "train", i) for i, (t, s, d) in enumerate(rows)], "input string, source string, data_dir string, source_split string, row_order long")
+    reads = []
+    shared = C.SharedInput(lambda s: reads.append(1) or df)
+    registry = C.SourceRegistry({s: shared for s in ("alpha", "zeta", "mid", "other")})
+    out = C.ingest_fanout(spark, catalog, registry)
+    got = {(r.input, r.source, r.row_order.source_rank, r.row_order.data_dir_rank, r.row_order.pos) for r in out.collect()}
+    # "other" and the unlisted data_dir "z" are not loaded; "mid" names no data_dir and takes all its rows
+    assert got == {("a", "alpha", 1, 1, 0), ("a", "zeta", 0, 1, 1), ("b", "alpha", 1, 0, 2), ("c", "alpha", 1, 1, 3), ("c", "alpha", 1, 0, 4), ("c", "mid", 2, 0, 5), ("d", "mid", 2, 0, 6)}
+    assert len(reads) == 1
+    kept = D.dedup_exact(out, "input").collect()
+    assert {(r.input, r.source, r.row_order.pos) for r in kept} == {("a", "zeta", 1), ("b", "alpha", 2), ("c", "alpha", 4), ("d", "mid", 6)}
+    one = C.ingest_fanout(spark, C.catalog_select(catalog, "alpha"), registry)
+    assert {r.row_order for r in one.collect()} == {r.row_order for r in out.collect() if r.source == "alpha"}
+    for bad in ([*entries, entries[0]], [{"source": "p", "position": 1}, {"source": "q", "position": 1}]):
+        with pytest.raises(ValueError):
+            C.catalog_frame(spark, bad)
+
+
+def test_ingest_fanout_scans_once(spark):
+    from corpusmill.plans.registry import queries
+    from tests.conftest import SF_SMALL
+
+    plan = queries()["ingest_fanout"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1
 
 
 def test_catalog_yaml_select_and_license(spark, tmp_dir):
