@@ -6,9 +6,7 @@ checkpoint directory and read them back with the source under test.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -19,7 +17,7 @@ from ..operators import stats as ST
 from ..oracle import stats_sql as SS
 from ..oracle import text_sql as S
 from ..schema import INSTRUCTION_TUNING, ORDER
-from ..session import staging_path
+from ..session import staging_path, write_table
 from ..sources import catalog as C
 from ..sources import files as FS
 from . import standins as SI
@@ -85,31 +83,64 @@ def q_filter_adaptation_type(spark, sf_dir):
 
 
 # --- file round trips ------------------------------------------------------------------
+#: Documents of a staged text file, and of a staged gzip member; bytes of a staged gzip part.
+FILE_DOCS, MEMBER_DOCS, PART_BYTES = 16, 64, 100_000
+
+
 def stage_text_files(spark, sf_dir) -> str:
-    """``documents`` written one ``.txt`` file per row (``maxRecordsPerFile=1``)."""
+    """``documents`` as ``.txt`` files of neighbouring ids, one document after the other."""
     path = staging_path(spark, "text-files")
-    _docs(spark, sf_dir).select("text").write.option("maxRecordsPerFile", 1).text(path)
+    d = _docs(spark, sf_dir).select("text", "doc_id", F.floor(F.col("doc_id") / FILE_DOCS).alias("file"))
+    d.repartition("file").sortWithinPartitions("file", "doc_id").select("text", "file").write.partitionBy("file").text(path)
     return path
 
 
-def stage_gzip_corpora(spark, sf_dir, max_records: int = 200) -> str:
-    """``documents`` texts as gzip line files, one directory per source, several members per corpus
-    (each task writes its own files, so a dominant source is spread over many writers)."""
+def stage_gzip_corpora(spark, sf_dir) -> str:
+    """``documents`` as one folder per source: gzip members of neighbouring ids, one after the other, cut every
+    ``PART_BYTES`` bytes into parts without regard to members or lines."""
+    import gzip
+
+    import pandas as pd
+
     path = staging_path(spark, "gzip-corpora")
-    d = _docs(spark, sf_dir)
-    (
-        d.select("text", "source")
-        .write.partitionBy("source")
-        .option("compression", "gzip")
-        .option("maxRecordsPerFile", max_records)
-        .text(path)
-    )
+    d = _docs(spark, sf_dir).select("source", F.floor(F.col("doc_id") / MEMBER_DOCS).alias("member"), "doc_id", "text")
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("doc_id")
+        data = gzip.compress("".join(t + "\n" for t in rows["text"]).encode("utf-8"), 6)
+        return pd.DataFrame({"source": [rows["source"].iloc[0]], "member": [rows["member"].iloc[0]], "data": [data]})
+
+    members = write_table(d.groupBy("source", "member").applyInPandas(pack, "source string, member long, data binary"), "gzip-members")
+    before = Window.partitionBy("source").orderBy("member").rowsBetween(Window.unboundedPreceding, -1)
+    at = members.select("source", "member", F.coalesce(F.sum(F.length("data")).over(before), F.lit(0)).alias("at"))
+    placed = members.join(at, ["source", "member"])
+    first, last = F.floor(F.col("at") / PART_BYTES), F.floor((F.col("at") + F.length("data") - 1) / PART_BYTES)
+    pieces = placed.select("source", "at", "data", F.explode(F.sequence(first, last)).alias("part"))
+    begin = F.greatest(F.col("part") * PART_BYTES - F.col("at"), F.lit(0))
+    end = F.least((F.col("part") + 1) * PART_BYTES - F.col("at"), F.length("data"))
+    pieces = pieces.select("source", "part", "at", F.substring(F.col("data"), begin + 1, end - begin).alias("data"))
+
+    def save(rows: pd.DataFrame) -> pd.DataFrame:
+        import pyarrow.fs as pfs
+
+        source, part = rows["source"].iloc[0], int(rows["part"].iloc[0])
+        fs, inner = pfs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+        fs.create_dir(f"{inner}/{source}", recursive=True)
+        with fs.open_output_stream(f"{inner}/{source}/{source}_part_{part:06d}.txt.gz", compression=None) as out:
+            out.write(b"".join(rows.sort_values("at")["data"]))
+        return pd.DataFrame({"source": [source]})
+
+    pieces.groupBy("source", "part").applyInPandas(save, "source string").write.format("noop").mode("overwrite").save()
     return path
 
 
-TEXT_FILES_SQL = "SELECT regexp_replace(text || chr(10), '\\r\\n?', chr(10), 'g') AS text FROM documents"
+TEXT_FILES_SQL = (
+    "SELECT regexp_replace(string_agg(text, chr(10) ORDER BY doc_id) || chr(10), '\\r\\n?', chr(10), 'g') AS text "
+    f"FROM documents GROUP BY doc_id // {FILE_DOCS}"
+)
 LINES_SQL = (
-    "SELECT source AS corpus, unnest(string_split_regex(text || chr(10), '\\r\\n|\\r|\\n')[:-2]) AS text FROM documents"
+    "SELECT source AS corpus, unnest(ls) AS text, generate_subscripts(ls, 1) - 1 AS position FROM ("
+    "SELECT source, string_split_regex(string_agg(text || chr(10), '' ORDER BY doc_id), '\\r\\n|\\r|\\n')[:-2] AS ls FROM documents GROUP BY source) AS c"
 )
 
 
@@ -126,24 +157,25 @@ def _corpus_dirs(spark, root: str) -> list[str]:
     return sorted(r[0] for r in listing.distinct().collect())  # bounded: one entry per corpus
 
 
-@register("scan_split_gzip", "S4", LINES_SQL)
+@register("scan_split_gzip", "S4+O2", f"SELECT corpus, corpus AS folder, position, text FROM ({LINES_SQL}) AS l")
 def q_scan_split_gzip(spark, sf_dir):
+    """Every corpus by several tasks (units of 256 kB at this scale), its lines numbered across members and parts."""
     root = stage_gzip_corpora(spark, sf_dir)
-    lines = FS.scan_split_gzip(spark, _corpus_dirs(spark, root))
-    return lines.select(F.regexp_replace("corpus", "^source=", "").alias("corpus"), "text")
+    lines = FS.scan_split_gzip(spark, _corpus_dirs(spark, root), unit_bytes=1 << 18)
+    return lines.select("corpus", F.regexp_extract("folder", "([^/]*)$", 1).alias("folder"), "position", "text")
 
 
 @register(
     "scan_local_dispatch",
     "S5",
-    f"SELECT 'txt' AS kind, text FROM ({TEXT_FILES_SQL}) AS t UNION ALL SELECT 'gz' AS kind, text FROM ({LINES_SQL}) AS g",
+    f"SELECT 'txt' AS kind, 0 AS position, text FROM ({TEXT_FILES_SQL}) AS t UNION ALL SELECT 'gz' AS kind, position, text FROM ({LINES_SQL}) AS g",
 )
 def q_scan_local_dispatch(spark, sf_dir):
-    """A text-file folder and every gzip corpus folder, each loaded through the dispatch."""
-    txt = FS.scan_local_dispatch(spark, stage_text_files(spark, sf_dir)).select(F.lit("txt").alias("kind"), "text")
-    gz_root = stage_gzip_corpora(spark, sf_dir)
-    gz = [FS.scan_local_dispatch(spark, d).select(F.lit("gz").alias("kind"), "text") for d in _corpus_dirs(spark, gz_root)]
-    return reduce(DataFrame.unionByName, [txt, *gz])
+    """A text-file folder and all gzip corpora, each loaded through the dispatch."""
+    txt = FS.scan_local_dispatch(spark, stage_text_files(spark, sf_dir))
+    gz = FS.scan_local_dispatch(spark, stage_gzip_corpora(spark, sf_dir))
+    of = [d.select(F.lit(kind).alias("kind"), F.col(f"{ORDER}.pos").alias("position"), "text") for kind, d in (("txt", txt), ("gz", gz))]
+    return of[0].unionByName(of[1])
 
 
 @register("scan_parquet", "S6", f"SELECT doc_id, source, text FROM documents WHERE {COMMERCIAL_SQL}")
@@ -276,9 +308,21 @@ def q_write_stats_csv(spark, sf_dir):
     return round_stats(FS.read_stats_csv(spark, path))
 
 
-@register("write_sized_gzip", "S12", f"SELECT text FROM ({LINES_SQL}) AS l")
+#: Byte cap of the registered export; it holds many documents, and the longest ones exceed it.
+EXPORT_BYTES = 100_000
+
+
+@register(
+    "write_sized_gzip",
+    "S12",
+    f"SELECT text, true AS within_cap FROM (SELECT unnest(string_split(text || chr(10), chr(10))[:-2]) AS text FROM documents) AS l",
+)
 def q_write_sized_gzip(spark, sf_dir):
+    """The export under a byte cap, read back; each line says whether its file keeps the cap (or is a single line)."""
     path = staging_path(spark, "sized-gzip")
-    FS.write_sized_gzip(_docs(spark, sf_dir), path, "text", max_records=100)
-    return spark.read.text(path).select(F.col("value").alias("text"))
-
+    d = _docs(spark, sf_dir).select(F.explode(F.split("text", "\n", -1)).alias("text"))
+    FS.write_sized_gzip(d, path, "text", max_bytes=EXPORT_BYTES)
+    back = spark.read.text(path).select(F.col("value").alias("text"), "chunk")
+    size = F.sum(F.octet_length("text") + 1)
+    files = back.groupBy("chunk").agg(((size <= EXPORT_BYTES) | (F.count(F.lit(1)) == 1)).alias("within_cap"))
+    return back.join(files, "chunk").select("text", "within_cap")

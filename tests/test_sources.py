@@ -2,6 +2,7 @@
 
 import gzip
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusmill.operators import dedup as D
 from corpusmill.sources import catalog as C
 from corpusmill.sources import files as FS
+from corpusmill.sources import gzip_members as GM
 
 
 def _byte_split_corpus(root, name, lines, chunk):
@@ -170,25 +172,126 @@ def test_catalog_yaml_select_and_license(spark, tmp_dir):
         C.license_catalog(cat.where("source = 'B'"), True)
 
 
+def _export(out):
+    """Chunks in order, each as its list of lines."""
+    files = sorted((d, f) for d in os.listdir(out) if d.startswith("chunk=") for f in os.listdir(os.path.join(out, d)) if f.endswith(".gz"))
+    assert len({d for d, _ in files}) == len(files)
+    return [gzip.open(os.path.join(out, d, f)).read() for d, f in files]
+
+
 def test_write_sized_gzip_byte_cap(spark, tmp_dir):
-    df = spark.range(2000).select(F.concat(F.lit("une ligne de texte numéro "), F.col("id").cast("string")).alias("text"))
-    out = os.path.join(tmp_dir, "bytes")
-    FS.write_sized_gzip(df.coalesce(1), out, max_bytes=8_000)
-    parts = [os.path.join(out, p) for p in os.listdir(out) if p.endswith(".gz")]
-    assert len(parts) >= 6
-    assert all(len(gzip.open(p).read()) <= 8_000 for p in parts)
-    assert spark.read.text(out).count() == 2000
+    df = spark.range(20_000).select(F.concat(F.lit("une ligne de texte numéro "), F.col("id").cast("string")).alias("text"))
+    want = "".join(f"une ligne de texte numéro {i}\n" for i in range(20_000)).encode()
+    for parts in (1, 7):
+        out = os.path.join(tmp_dir, f"bytes{parts}")
+        FS.write_sized_gzip(df.coalesce(1) if parts == 1 else df.repartitionByRange(parts, "text"), out, max_bytes=8_000)
+        chunks = _export(out)
+        assert all(len(c) <= 8_000 for c in chunks)
+        least = -(-len(want) // 8_000)
+        assert least <= len(chunks) <= least * 1.1 + 2
+        assert sorted(b"".join(chunks).splitlines()) == sorted(want.splitlines())
+        if parts == 1:
+            assert b"".join(chunks) == want  # order kept
+    with pytest.raises(Exception):
+        FS.write_sized_gzip(df, out, max_bytes=8_000)
+    FS.write_sized_gzip(df.limit(3), out, max_bytes=8_000, override=True)
+    assert spark.read.text(out).count() == 3
+
+
+def test_write_sized_gzip_one_long_line(spark, tmp_dir):
+    """A line above the cap is a file of its own and does not change how the others are cut."""
+    rows = ["short line"] * 3000 + ["x" * 50_000] + ["short line"] * 3000 + [None, ""]
+    df = spark.createDataFrame([(r,) for r in rows], "text string").coalesce(1)
+    out = os.path.join(tmp_dir, "outlier")
+    FS.write_sized_gzip(df, out, max_bytes=4_000)
+    chunks = _export(out)
+    assert b"".join(chunks) == "".join((r or "") + "\n" for r in rows).encode()
+    assert [len(c) for c in chunks if len(c) > 4_000] == [50_001] and 17 <= len(chunks) <= 24
+    empty = os.path.join(tmp_dir, "empty-export")
+    FS.write_sized_gzip(df.where("false"), empty, max_bytes=4_000)
+    assert _export(empty) == []
+
+
+def _cut_into_parts(folder, data, rng):
+    os.makedirs(folder)
+    at = i = 0
+    while at < len(data):
+        n = rng.randint(1, max(2, len(data) // 7))
+        with open(os.path.join(folder, f"c_part_{chr(97 + i // 26)}{chr(97 + i % 26)}.txt.gz"), "wb") as fh:
+            fh.write(data[at : at + n])
+        at, i = at + n, i + 1
+    return folder
+
+
+def _python_lines(text):
+    """Text mode with universal newlines, line ends removed."""
+    lines = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
+    return lines[:-1] if lines[-1] == "" else lines
+
+
+def test_scan_split_gzip_reads_members_in_many_tasks(spark, tmp_dir):
+    """Members, parts and lines are cut at unrelated bytes; the number of tasks changes nothing."""
+    rng = random.Random(4)
+    for trial, pool in enumerate(("ab\n", "aé\r\n\n", "x\r\n", "abc", "\n")):
+        text = "".join(rng.choice(pool) for _ in range(600))
+        text = text + "\n" if trial == 1 else text
+        raw = text.encode("utf-8")
+        data, at = b"", 0
+        while at < len(raw):
+            n = rng.choice((1, 3, 40, 200))
+            data += gzip.compress(raw[at : at + n]) + rng.choice((b"", b"", b"\0\0"))
+            at += n
+            if rng.random() < 0.2:
+                data += gzip.compress(b"")
+        folder = _cut_into_parts(os.path.join(tmp_dir, f"m{trial}"), data, rng)
+        want = list(enumerate(_python_lines(text)))
+        parts = FS.gzip_parts(spark, folder)
+        (key, (paths, lengths)), = parts.items()
+        stream = GM.Stream(paths, lengths)
+        notes = [n for p in range(len(paths)) for s in GM.header_places(stream, p) if (n := GM.note(stream, key, s))]
+        for unit_bytes in (1, 300, 1 << 20):
+            got = []
+            units = GM.chain(key, stream.size, notes, unit_bytes)
+            for _, start, stop, skip, position in units:
+                got += list(enumerate(GM.unit_lines(stream, start, stop, skip), position))
+            assert got == want, (trial, unit_bytes)
+        assert len(GM.chain(key, stream.size, notes, 1)) > 3 or pool == "abc"
+        df = FS.scan_split_gzip(spark, folder, unit_bytes=200)
+        assert sorted((r.position, r.text) for r in df.collect()) == want
+        assert trial or df.rdd.getNumPartitions() >= 2
+
+
+def test_scan_split_gzip_chance_headers(spark, tmp_dir):
+    """A stored block may hold the bytes of a header, or a whole member: only the chain's members count."""
+    inner = b"\x1f\x8b\x08 no member\n" + gzip.compress(b"an inner member\n")
+    raw = gzip.compress(b"first\n") + gzip.compress(b"x" + inner.replace(b"\r", b"") , 0) + gzip.compress(b"last\n")
+    folder = _cut_into_parts(os.path.join(tmp_dir, "chance"), raw, random.Random(1))
+    (key, (paths, lengths)), = FS.gzip_parts(spark, folder).items()
+    stream = GM.Stream(paths, lengths)
+    places = [s for p in range(len(paths)) for s in GM.header_places(stream, p)]
+    notes = [n for s in places if (n := GM.note(stream, key, s))]
+    assert len(places) >= 5 and len(notes) >= 4
+    units = GM.chain(key, stream.size, notes, 1)
+    assert [u[1] for u in units][0] == 0 and len(units) == 3
 
 
 def test_scan_split_gzip_refuses_a_cut_stream(spark, tmp_dir):
     folder = _byte_split_corpus(tmp_dir, "cut", [f"line {i}" for i in range(5000)], 997)
-    parts = sorted(os.path.join(folder, f) for f in os.listdir(folder))
-    with pytest.raises(EOFError):
-        list(FS._gzip_lines(parts[:-1]))
+    os.remove(os.path.join(folder, sorted(os.listdir(folder))[-1]))
+    with pytest.raises(Exception, match="missing or cut"):
+        FS.scan_split_gzip(spark, folder).count()
+    other = os.path.join(tmp_dir, "plain")
+    os.makedirs(other)
+    with open(os.path.join(other, "a.txt.gz"), "wb") as fh:
+        fh.write(b"not gzip at all")
+    with pytest.raises(Exception, match="no gzip member"):
+        FS.scan_split_gzip(spark, other).count()
 
 
 def test_scan_split_gzip_keeps_equal_folder_names_apart(spark, tmp_dir):
     os.makedirs(os.path.join(tmp_dir, "a")), os.makedirs(os.path.join(tmp_dir, "b"))
     folders = [_byte_split_corpus(os.path.join(tmp_dir, d), "train", [f"{d}1", f"{d}2"], 9) for d in "ab"]
-    got = sorted(tuple(r) for r in FS.scan_split_gzip(spark, folders).collect())
-    assert got == [("train", 0, "a1"), ("train", 0, "b1"), ("train", 1, "a2"), ("train", 1, "b2")]
+    got = sorted((r.folder.rsplit("/", 2)[1], r.corpus, r.position, r.text) for r in FS.scan_split_gzip(spark, folders).collect())
+    assert got == [("a", "train", 0, "a1"), ("a", "train", 1, "a2"), ("b", "train", 0, "b1"), ("b", "train", 1, "b2")]
+    files = {r.row_order.file for d in folders for r in FS.scan_local_dispatch(spark, d).collect()}
+    assert len(files) == 2
