@@ -1,21 +1,17 @@
 """Text scalar functions (T1-T20): the cleaning chain as native Column expressions.
 
-Everything except NFC runs inside whole-stage codegen (``regexp_replace``,
-``translate``, ``regexp_count``). NFC has no built-in; it goes through one
-Arrow UDF and only rows holding a code point >= U+0300 are shipped (every
-character below that is already NFC-stable); the others travel as NULL and
-keep their JVM value.
+Everything runs in the JVM (``regexp_replace``, ``translate``, ``regexp_count``). NFC has no built-in of its own;
+``reflect`` calls the Unicode library that Spark ships with for its collations.
 """
 
 from __future__ import annotations
 
 import functools
-import unicodedata
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import BinaryType
 
 from .charclass import (
     DEFAULT_MIN_WORDS,
@@ -56,23 +52,20 @@ def decode_utf8(c: ColumnOrName, dtype=None) -> Column:
 
 
 # --- T2 ---------------------------------------------------------------------
-@F.arrow_udf(StringType())
-def _nfc_batch(s: pa.Array) -> pa.Array:
-    # pyarrow's utf8_normalize(form="NFC") returns decomposed text in the pinned version,
-    # so the per-value helper is Python's own normaliser (only suspect rows reach it).
-    def one(x):
-        return x if x is None or unicodedata.is_normalized("NFC", x) else unicodedata.normalize("NFC", x)
+def normalize_nfc(c: ColumnOrName) -> Column:
+    """Unicode NFC, in the JVM; NULL stays NULL.
 
-    return pa.array([one(x) for x in s.to_pylist()], type=pa.string())
+    Spark holds ``reflect`` for non-deterministic: a projection with it is neither repeated by nor merged with the
+    one above, and a filter above stays above. Put filters on other columns before it.
+    """
+    col = _c(c)
+    composed = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), col, F.lit(False))
+    return F.when(col.isNotNull(), composed)
 
 
-NFC_SUSPECT = r"[\x{300}-\x{10ffff}]"
-
-
-def normalize_nfc(c: ColumnOrName) -> Column:
-    """Unicode NFC. Rows made only of code points < U+0300 never leave the JVM."""
-    col = _c(c)
-    return F.coalesce(_nfc_batch(F.when(col.rlike(NFC_SUSPECT), col)), col)
+def once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with ``value`` evaluated a single time, however often ``then`` uses it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
 # --- T3 ---------------------------------------------------------------------
@@ -82,7 +75,7 @@ def normalize_whitespace(c: ColumnOrName, rm_new_lines: bool = False) -> Column:
 
 
 # --- T4 ---------------------------------------------------------------------
-# Plain form (also the RE2 oracle's). The Java form adds a run-start anchor and possessive
+# Fixed value: what the plain pattern matches. It is also the RE2 oracle's form. The Java form adds a run-start anchor and possessive
 # quantifiers to the word alternative: a match can only begin where a word begins (a later start
 # in the same word ends at the same place, and leftmost wins), so the result is identical while
 # each word is scanned once instead of once per character.
@@ -209,10 +202,13 @@ def _strict_body(col: Column) -> Column:
     return drop_long_words(t)
 
 
+def _gated_body(t: Column, word_check_min: int) -> Column:
+    return F.when(word_gate(t, word_check_min), _strict_body(t)).when(t.isNotNull(), F.lit(""))
+
+
 def clean_strict(c: ColumnOrName, word_check_min: int = DEFAULT_MIN_WORDS) -> Column:
     """Quote normalisation, word gate, then T9-T13."""
-    col = normalize_quote(c)
-    return F.when(word_gate(col, word_check_min), _strict_body(col)).when(col.isNotNull(), F.lit(""))
+    return once(normalize_quote(c), lambda t: _gated_body(t, word_check_min))
 
 
 # --- T17 --------------------------------------------------------------------
@@ -240,8 +236,8 @@ def clean_text(
         # so T4 removes exactly the same spans whichever apostrophe it sees.
         frm = "\f’\r\n\t" if rm_new_lines else "\f’\r"
         t = strip_urls_html(F.translate(t, frm, " '"))
-    # The gate is evaluated once; the reference checks it twice on the same text.
-    t = F.when(word_gate(t, word_check_min), _strict_body(t)).when(t.isNotNull(), F.lit(""))
+    # Gate and body share the text prepared so far. The gate need not be checked a second time.
+    t = once(t, lambda prepared: _gated_body(prepared, word_check_min))
     t = collapse_spaces(t)
     if do_lower:
         t = lowercase(t)

@@ -34,11 +34,25 @@ def q_decode_utf8(spark, sf_dir):
     return d.select("doc_id", T.decode_utf8(raw, BinaryType()).alias("decode_utf8"))
 
 
-# The tables are already NFC, so a decomposed é (e + U+0301) is appended.
-@register("normalize_nfc", "T2", "SELECT doc_id, nfc_normalize(text || 'e' || chr(769)) AS normalize_nfc FROM documents")
+# The tables are already NFC, so every text is decomposed first: letters, then their accents.
+_COMPOSED = "àâäáãåéèêëíìîïóòôöõúùûüýÿçñÀÂÄÁÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÝÇÑ"
+
+
+def _decomposed_sql() -> str:
+    import unicodedata
+
+    sql = "text"
+    for c in _COMPOSED:
+        sql = f"replace({sql}, '{c}', '{unicodedata.normalize('NFD', c)}')"
+    return sql
+
+
+@register("normalize_nfc", "T2", lambda: f"SELECT doc_id, nfc_normalize({_decomposed_sql()}) AS normalize_nfc FROM documents")
 def q_normalize_nfc(spark, sf_dir):
+    """NFC of texts whose accented letters come as letter and combining accent."""
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", T.normalize_nfc(F.concat("text", F.lit("é"))).alias("normalize_nfc"))
+    decomposed = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"), F.col("text"), F.lit(False))
+    return d.select("doc_id", decomposed.alias("text")).select("doc_id", T.normalize_nfc("text").alias("normalize_nfc"))
 
 
 _doc_query("normalize_whitespace", "T3", T.normalize_whitespace, S.normalize_whitespace)

@@ -98,3 +98,16 @@ def test_clean_columns_by_type(spark):
     assert out.b == "Le chat dort " and out.s == "un deux trois"
     with pytest.raises(TypeError):
         clean_columns(df, ["n"])
+
+
+def test_nfc_equals_python_on_every_code_point(spark):
+    """Single characters, marks after a base, Hangul syllables and typographic signs, all in the JVM."""
+    import unicodedata
+
+    points = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c <= 0xDFFF and unicodedata.category(chr(c)) != "Cn"]
+    texts = ["".join(f"a{c}é " for c in points[i : i + 200]) for i in range(0, len(points), 200)]
+    texts += [unicodedata.normalize("NFD", t) for t in ("été naïve à l’hôpital – où → ça", "각각", "Ǻ ậ ộ")] + ["", None, "plain"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(8)
+    for r in df.select("i", T.normalize_nfc("t").alias("n")).collect():
+        t = texts[r.i]
+        assert r.n == (None if t is None else unicodedata.normalize("NFC", t))
