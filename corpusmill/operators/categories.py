@@ -1,8 +1,8 @@
 """Category-graph operators (G1-G4), re-aimed from an encyclopaedia crawler onto tables.
 
 The graph is an edge table ``(parent, child, is_category)`` and a page table
-``(title, text)``. Expansion is a bounded loop of equi-joins (``max_level + 1``
-joins), never a recursive walk on the driver.
+``(title, text)``. Expansion is breadth-first, one equi-join a level over a written frontier, never a recursive
+walk on the driver.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import write_table
+
 DEFAULT_MAX_LEVEL = 1
 
 
@@ -27,23 +29,31 @@ def category_expand(
     Pages of every visited category are collected; subcategories are entered while
     ``level < max_level``. The ignore list (column ``name``) skips subcategories of the
     roots only, unless ``ignore_all_levels``.
+
+    A root enters a category once, at its lowest level, however many paths lead to it, so cycles end and diamonds
+    do not multiply rows. A category's own edges are returned as often as they are listed. Each level writes the
+    categories it enters and the members it finds; the walk stops when there is nothing new to enter.
     """
-    frontier = roots.select("root", "root_rank", F.col("root").alias("cat"))
+    frontier = write_table(roots.select("root", "root_rank", F.col("root").alias("cat")).distinct(), "category-frontier")
+    visited = frontier.select("root", "cat")
     hits: list[DataFrame] = []
     for level in range(max_level + 1):
-        members = frontier.join(edges, frontier["cat"] == edges["parent"], "inner").select(
-            "root", "root_rank", "child", "is_category"
-        )
+        members = frontier.join(edges, frontier["cat"] == edges["parent"], "inner").select("root", "root_rank", "child", "is_category")
+        members = write_table(members, "category-members")
         hits.append(
             members.where(~F.col("is_category")).select(
                 "root", "root_rank", F.lit(level).alias("level"), F.col("child").alias("title")
             )
         )
-        if level < max_level:
-            sub = members.where(F.col("is_category"))
-            if ignore is not None and (level == 0 or ignore_all_levels):
-                sub = sub.join(ignore, sub["child"] == ignore["name"], "left_anti")
-            frontier = sub.select("root", "root_rank", F.col("child").alias("cat"))
+        if level == max_level:
+            break
+        sub = members.where("is_category").select("root", "root_rank", F.col("child").alias("cat")).distinct()
+        if ignore is not None and (level == 0 or ignore_all_levels):
+            sub = sub.join(ignore, sub["cat"] == ignore["name"], "left_anti")
+        frontier = write_table(sub.join(visited, ["root", "cat"], "left_anti").select("root", "root_rank", "cat"), "category-frontier")
+        if frontier.isEmpty():
+            break
+        visited = visited.unionByName(frontier.select("root", "cat"))
     return reduce(DataFrame.unionByName, hits)
 
 

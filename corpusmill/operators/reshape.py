@@ -16,6 +16,7 @@ from ..functions import text as T
 from ..functions.charclass import WS_CHARS
 from ..schema import CANONICAL, DEDUPED, ORDER
 from . import prompts as PR
+from .columns import evaluate_once
 
 
 def _lit_or_col(v) -> Column:
@@ -78,7 +79,7 @@ def translation_projection(
     df, source, data_dir=None, source_split="train", translation="translation", lang="fr", order=None
 ) -> DataFrame:
     """Keep one side of a parallel corpus, cleaned once here (and once more by ``clean_columns``)."""
-    cleaned = df.select(T.clean_text(F.col(f"{translation}.{lang}")).alias("__text"), *([order] if isinstance(order, str) else []))
+    cleaned = df.withColumn("__text", T.clean_text(F.col(f"{translation}.{lang}")))
     return canonical_projection(cleaned, source, data_dir, source_split, "__text", order)
 
 
@@ -110,11 +111,13 @@ def _pystrip(c: Column) -> Column:
 
 
 def tsv_rows(lines: DataFrame, file: str = "file", pos: str = "pos", line: str = "line") -> DataFrame:
-    """non-blank lines with >= 6 tab columns and a non-empty word; (file, pos, sentence_id, word)."""
-    cols = F.split(F.col(line), "\t")
+    """non-blank lines with >= 6 tab columns and a non-empty word; (file, pos, sentence_id, word).
+
+    A blank line has no word, so the test of the word covers it. The line is built and split once: the filters
+    stay above the split.
+    """
     return (
-        lines.where(~T.is_blank(F.col(line)))
-        .select(file, pos, cols.alias("__cols"))
+        evaluate_once(lines.select(file, pos, line), __cols=F.split(F.col(line), "\t"))
         .where(F.size("__cols") >= 6)
         .select(
             file,

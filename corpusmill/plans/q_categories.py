@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import categories as G
+from ..session import write_table
 from .registry import register
 from .tables import table
 
@@ -84,7 +85,7 @@ TEXTS_SQL = f"SELECT f.root AS subset, f.title, p.text FROM ({FIRST_WINS_SQL}) A
 def _expand(spark, sf_dir):
     edges, roots, pages, ignore = graph(spark, sf_dir)
     # the edge table is read once per level: materialise it once (a written intermediate table)
-    edges = edges.checkpoint(eager=True)
+    edges = write_table(edges, "category-edges")
     return G.category_expand(edges, roots, ignore, max_level=1), pages
 
 
@@ -121,3 +122,34 @@ GROUP BY ROLLUP (subset)""",
 def q_category_counts(spark, sf_dir):
     titles, pages = _expand(spark, sf_dir)
     return G.category_counts(G.category_texts(G.category_first_wins(G.category_distinct(titles)), pages))
+
+
+# --- depth 5 over a graph with cycles and diamonds ---------------------------------------
+#: Segments lead on to two regions: the next one (a cycle over all of them) and the one after (diamonds).
+DEEP_EDGES_SQL = f"""{EDGES_SQL}
+UNION ALL SELECT DISTINCT n_name || '/' || c_mktsegment, r_name, true FROM customer JOIN nation ON c_nationkey = n_nationkey
+  JOIN region ON r_regionkey = (n_regionkey + 1) % 5 OR r_regionkey = (n_regionkey + 2) % 5"""
+
+DEEP_SQL = f"""
+WITH RECURSIVE e AS ({DEEP_EDGES_SQL}),
+walk(root, root_rank, cat, level) AS (
+  SELECT r_name, r_regionkey, r_name, 0 FROM region
+  UNION
+  SELECT w.root, w.root_rank, e.child, w.level + 1 FROM walk AS w JOIN e ON e.parent = w.cat
+  WHERE e.is_category AND w.level < 5 AND NOT (w.level = 0 AND e.child IN ({IGNORED_SQL}))
+),
+entered AS (SELECT root, root_rank, cat, min(level) AS level FROM walk GROUP BY root, root_rank, cat)
+SELECT n.root, n.root_rank, n.level, e.child AS title FROM entered AS n JOIN e ON e.parent = n.cat WHERE NOT e.is_category"""
+
+
+@register("category_expand_deep", "G1", DEEP_SQL)
+def q_category_expand_deep(spark, sf_dir):
+    edges, roots, _, ignore = graph(spark, sf_dir)
+    customer, nation, region = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    seg = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).select(
+        F.concat("n_name", F.lit("/"), "c_mktsegment").alias("parent"), F.explode(F.array((F.col("n_regionkey") + 1) % 5, (F.col("n_regionkey") + 2) % 5)).alias("to")
+    )
+    on = seg.distinct().join(region, F.col("to") == region["r_regionkey"]).select("parent", F.col("r_name").alias("child"), F.lit(True).alias("is_category"))
+    edges = write_table(edges.unionByName(on), "category-edges")
+    titles = G.category_expand(edges, roots, ignore, max_level=5)
+    return titles.select("root", F.col("root_rank").cast("int").alias("root_rank"), F.col("level").cast("int").alias("level"), "title")

@@ -16,6 +16,7 @@ from ..oracle import text_sql as S
 from ..operators import prompts as PR
 from ..schema import ORDER
 from . import standins as SI
+from ..sources import catalog as C
 from .registry import register
 from .tables import table
 
@@ -40,9 +41,7 @@ def q_subset_projection(spark, sf_dir):
 
 
 def _translation_sql():
-    once = S.clean_text_select(
-        "SELECT doc_id, source, text FROM documents WHERE lang = 'fr'", ["doc_id", "source"], "text", "t1"
-    )
+    once = S.clean_text_select("SELECT doc_id, source, text FROM documents", ["doc_id", "source"], "text", "t1")
     twice = S.clean_text_select(once, ["doc_id", "source"], "t1", "input")
     return (
         "SELECT NULL::VARCHAR AS instruction, input, NULL::VARCHAR AS output, source, 'en-fr' AS data_dir, "
@@ -52,11 +51,11 @@ def _translation_sql():
 
 @register("translation_projection", "P3", _translation_sql)
 def q_translation_projection(spark, sf_dir):
-    d = _docs(spark, sf_dir).where(F.col("lang") == "fr")
+    """Every document as the kept side of a parallel corpus, cleaned by the projection and once more after it."""
+    d = _docs(spark, sf_dir)
     parallel = d.select("doc_id", "source", F.struct(F.col("text").alias("fr"), F.lit(None).cast("string").alias("en")).alias("translation"))
-    p = R.translation_projection(parallel, "WMT16", "en-fr", "train", order="doc_id")
-    # source column from the row for the stand-in; the reference sets the catalog name.
-    p = p.drop("source").join(parallel.select(F.col("doc_id").alias(ORDER), "source"), ORDER)
+    # the stand-in has many sources; a parallel corpus has one name
+    p = R.translation_projection(parallel, F.col("source"), "en-fr", "train", order="doc_id")
     return R.to_canonical(p.withColumn("input", T.clean_text("input")))
 
 
@@ -300,14 +299,13 @@ def q_filter_source(spark, sf_dir):
 # --- unions ----------------------------------------------------------------------------
 @register("union_splits", "U1", CANON_SQL.format(data_dir="lang"))
 def q_union_splits(spark, sf_dir):
-    """One piece per data_dir (language) of each source, concatenated by name."""
+    """All data_dirs (languages) of each source, as the catalog lists them, by one scan."""
     d = _docs(spark, sf_dir)
-    langs = [r[0] for r in d.select("lang").distinct().orderBy("lang").collect()]  # bounded: the split list
-    pieces = [
-        R.canonical_projection(d.where(F.col("lang") == lang), F.col("source"), lang, "train", "text", order="doc_id")
-        for lang in langs
-    ]
-    return reduce(DataFrame.unionByName, pieces)
+    catalog = C.catalog_from_corpus(d, subset="lang")
+    whole = C.SharedInput(lambda s: R.canonical_projection(d, F.col("source"), F.col("lang"), "train", "text", order="doc_id"))
+    names = [r.source for r in catalog.select("source").collect()]  # bounded: the catalog
+    out = C.ingest_fanout(spark, catalog, C.SourceRegistry({n: whole for n in names}))
+    return out.withColumn(ORDER, F.col(f"{ORDER}.pos"))
 
 
 @register("union_sources", "U2", CANON_SQL.format(data_dir="NULL::VARCHAR"))

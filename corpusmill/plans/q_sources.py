@@ -71,15 +71,20 @@ def _mixed_corpus(spark, sf_dir) -> DataFrame:
     return _canon(spark, sf_dir).unionByName(mcq)
 
 
-@register(
-    "filter_adaptation_type",
-    "F3",
-    "SELECT 'FRENCHMEDMCQA' AS source, item_id AS row_order FROM benchmark",
-)
+def _instruction_sql():
+    from .q_reshape import _mcq_sql
+
+    return (
+        "SELECT instruction, input, output, 'FRENCHMEDMCQA' AS source, NULL::VARCHAR AS data_dir, 'train' AS source_split, "
+        f"item_id AS row_order FROM ({_mcq_sql()}) AS m"
+    )
+
+
+@register("filter_adaptation_type", "F3", _instruction_sql)
 def q_filter_adaptation_type(spark, sf_dir):
     corpus = _mixed_corpus(spark, sf_dir)
     catalog = C.catalog_from_corpus(corpus, instruction="instruction")
-    return FL.filter_adaptation_type(corpus, catalog, INSTRUCTION_TUNING).select("source", ORDER)
+    return FL.filter_adaptation_type(corpus, catalog, INSTRUCTION_TUNING)
 
 
 # --- file round trips ------------------------------------------------------------------

@@ -15,7 +15,7 @@ from ..oracle import reshape_sql as RS
 from ..oracle import stats_sql as SS
 from ..oracle import text_sql as S
 from ..session import write_table
-from ..schema import ORDER
+from ..schema import CANONICAL_SCHEMA, ORDER
 from ..sources.catalog import catalog_from_corpus
 from .registry import register
 from .tables import table
@@ -90,9 +90,9 @@ def q_weighted_avg_variance(spark, sf_dir):
 @register("stats_merge", "A6", lambda: SS.rounded(SS.per_label(DOC_SQL, "text")))
 def q_stats_merge(spark, sf_dir):
     """Per-source stats of English and of other documents, merged: equal to stats over all documents."""
-    raw = _raw(spark, sf_dir).join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias(ORDER), "lang"), ORDER)
-    a = ST.stats_by_source(raw.where(F.col("lang") == "en"))
-    b = ST.stats_by_source(raw.where(F.col("lang") != "en"))
+    d = table(spark, sf_dir, "documents").select("source", "lang", F.col("text").alias("input"))
+    a = ST.stats_by_source(d.where(F.col("lang") == "en"))
+    b = ST.stats_by_source(d.where(~F.col("lang").eqNullSafe(F.lit("en"))))
     return round_stats(ST.stats_merge(a, b))
 
 
@@ -105,6 +105,9 @@ def q_stats_global(spark, sf_dir):
     return round_stats(ST.stats_global(_raw(spark, sf_dir)))
 
 
+CARD_DATE = "2024-01-31"
+
+
 def _card_sql():
     s = SS.per_label(DOC_SQL, "text")
     layout = ST.CARD_LAYOUT
@@ -112,7 +115,10 @@ def _card_sql():
         layout,
         source="label",
         comment="'Stand-in entry for ' || label",
+        date=f"'{CARD_DATE}'",
         splits="'train'",
+        schema=f"'{ST.schema_line(CANONICAL_SCHEMA)}'",
+        nb_columns=f"'{len(CANONICAL_SCHEMA.fields)}'",
         nb_docs="CAST(nb_docs AS VARCHAR)",
         nb_words="CAST(nb_words AS VARCHAR)",
         mean_words=SS.fixed2("mean_words"),
@@ -127,7 +133,7 @@ def _card_sql():
 @register("dataset_card", "A8", _card_sql)
 def q_dataset_card(spark, sf_dir):
     raw = _raw(spark, sf_dir)
-    return ST.dataset_card(ST.stats_by_source(raw), catalog_from_corpus(raw))
+    return ST.dataset_card(ST.stats_by_source(raw), catalog_from_corpus(raw), CARD_DATE)
 
 
 def _cleaned_sql():

@@ -60,3 +60,37 @@ def test_ignore_all_levels_and_deeper(spark):
     titles = G.category_expand(e, roots, ignore, max_level=2, ignore_all_levels=True)
     got = sorted({(r.root, r.title) for r in titles.collect()})
     assert ("Med", "p_deep") in got and ("Bio", "p_ign") not in got
+
+
+def _brute_expand(edges, roots, ignore, max_level):
+    """(root, level, title) per edge of every category, entered at its lowest level."""
+    out = []
+    for root in roots:
+        level_of, frontier = {root: 0}, [root]
+        for level in range(max_level + 1):
+            found = [(p, c, k) for cat in frontier for p, c, k in edges if p == cat]
+            out += [(root, level, c) for _, c, k in found if not k]
+            frontier = []
+            for _, c, k in found:
+                if k and c not in level_of and not (level == 0 and c in ignore):
+                    level_of[c] = level + 1
+                    frontier.append(c)
+    return sorted(out)
+
+
+def test_diamonds_cycles_and_depth(spark):
+    import random
+
+    chain = [(f"c{i}", f"c{i + 1}", True) for i in range(8)] + [(f"c{i}", f"p{i}", False) for i in range(9)]
+    diamond = [("c0", "x1", True), ("c0", "x2", True), ("x1", "y", True), ("x2", "y", True), ("y", "py", False), ("y", "py", False), ("y", "c0", True), ("c3", "c0", True), ("c4", "c4", True)]
+    rng = random.Random(3)
+    dense = [(f"d{rng.randint(0, 11)}", f"d{rng.randint(0, 11)}", True) for _ in range(60)] + [(f"d{i}", f"q{i % 5}", False) for i in range(12)]
+    schema = "parent string, child string, is_category boolean"
+    for edges, roots in ((chain + diamond, ["c0", "c2"]), (dense, ["d0", "d5", "d7"])):
+        e = spark.createDataFrame(edges, schema)
+        r = spark.createDataFrame([(n, i) for i, n in enumerate(roots)], "root string, root_rank int")
+        ignore = spark.createDataFrame([("x2",), ("d3",)], "name string")
+        for depth in (0, 1, 5):
+            got = sorted((x.root, x.level, x.title) for x in G.category_expand(e, r, ignore, max_level=depth).collect())
+            assert got == _brute_expand(edges, roots, {"x2", "d3"}, depth), depth
+    assert G.category_expand(e, r.where("false"), None, 3).count() == 0
