@@ -10,7 +10,7 @@ import string
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, NullType, StringType
+from pyspark.sql.types import ArrayType, IntegralType, NullType, StringType, StructType
 
 from ..functions import text as T
 from ..functions.charclass import WS_CHARS
@@ -129,15 +129,40 @@ def tsv_rows(lines: DataFrame, file: str = "file", pos: str = "pos", line: str =
     )
 
 
+#: Bits of a position inside a stretch: a group's rows meet in tasks by stretches of 65,536 positions.
+STRETCH_BITS = 16
+
+
+def ordered_concat(df: DataFrame, keys: list[str], order: str, value: str, separator: str, out: str = "input", first: str | None = None) -> DataFrame:
+    """Per ``keys`` group the texts of ``value`` in ``order``, joined by ``separator``; ``first`` names a column for
+    the smallest order.
+
+    Two steps, so that a group holding a large share of all rows is not gathered row by row in one task: stretches
+    of neighbouring orders are joined first, each on its own, and the last step only joins the stretches' texts. An
+    order is a number or a struct ending in one (its other fields then belong to the stretch); a group of an order
+    of any other type is one stretch. Rows of equal order are joined in the order of their texts.
+    """
+    kind = df.schema[order].dataType
+    if isinstance(kind, IntegralType):
+        stretch = F.shiftright(F.col(order).cast("long"), STRETCH_BITS)
+    elif isinstance(kind, StructType) and isinstance(kind.fields[-1].dataType, IntegralType):
+        *outer, last = kind.names
+        stretch = F.struct(*[F.col(f"{order}.{f}").alias(f) for f in outer], F.shiftright(F.col(f"{order}.{last}").cast("long"), STRETCH_BITS).alias(last))
+    else:
+        stretch = F.lit(0)
+    rows = df.select(*keys, F.col(order).alias("__o"), F.col(value).alias("__v"), stretch.alias("__s"))
+
+    def joined(items: Column) -> Column:
+        return F.array_join(F.transform(F.array_sort(items), lambda x: x["__v"]), separator)
+
+    parts = rows.groupBy(*keys, "__s").agg(joined(F.collect_list(F.struct("__o", "__v"))).alias("__v"), F.min("__o").alias("__o"))
+    whole = parts.groupBy(*keys).agg(joined(F.collect_list(F.struct("__o", "__v"))).alias(out), F.min("__o").alias("__o"))
+    return whole.select(*keys, *([F.col("__o").alias(first)] if first else []), out)
+
+
 def tsv_tokens_to_sentences(lines: DataFrame, file: str = "file", pos: str = "pos", line: str = "line") -> DataFrame:
     """Words of a sentence id joined by one space in line order; one row per (file, sentence)."""
-    words = tsv_rows(lines, file, pos, line)
-    return words.groupBy(file, "sentence_id").agg(
-        F.min(pos).alias("first_pos"),
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct(F.col(pos), F.col("word")))), lambda x: x["word"]), " "
-        ).alias("input"),
-    )
+    return ordered_concat(tsv_rows(lines, file, pos, line), [file, "sentence_id"], pos, "word", " ", first="first_pos")
 
 
 # --- P8 ---------------------------------------------------------------------
@@ -149,13 +174,7 @@ def token_rows_to_documents(
     ``first`` names a column for the order of the document's first row."""
     tok_type = df.schema[tokens].dataType
     line = F.array_join(F.col(tokens), " ") if isinstance(tok_type, ArrayType) else F.col(tokens).cast("string")
-    return df.groupBy(document).agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("l")))), lambda x: x["l"]),
-            "\n",
-        ).alias("input"),
-        *([F.min(order).alias(first)] if first else []),
-    )
+    return ordered_concat(df.select(document, order, line.alias("__line")), [document], order, "__line", "\n", first=first)
 
 
 # --- P9 / P11 / P12 -----------------------------------------------------------

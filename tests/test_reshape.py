@@ -71,3 +71,25 @@ def test_cast_null_columns(spark):
     df = spark.range(1).select(F.lit(None).alias("x"), F.lit("y").alias("y"))
     out = R.cast_null_columns(df)
     assert [f.dataType.simpleString() for f in out.schema] == ["string", "string"]
+
+
+def test_ordered_concat_spreads_a_hot_group(spark):
+    """A group of many stretches is joined in order, as number and as struct orders, over several groups."""
+    from pyspark.sql import functions as F
+
+    from corpusmill.operators import reshape as R
+
+    rows = [("hot", p, f"w{p % 97}") for p in range(0, 3_000_000, 1000)] + [("a", 5, "x"), ("a", 2**40, "z"), ("a", 70_000, "y"), ("a", 5, "x0")]
+    df = spark.createDataFrame(rows, "k string, pos long, w string").repartition(5)
+    want = {"hot": (0, " ".join(f"w{p % 97}" for p in range(0, 3_000_000, 1000))), "a": (5, "x x0 y z")}
+    got = R.ordered_concat(df, ["k"], "pos", "w", " ", first="first")
+    assert {r.k: (r["first"], r.input) for r in got.collect()} == want
+    assert got.columns == ["k", "first", "input"]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list") >= 2
+    struct = df.withColumn("pos", F.struct(F.lit("f").alias("file"), F.col("pos").alias("pos")))
+    assert {r.k: r.input for r in R.ordered_concat(struct, ["k"], "pos", "w", " ").collect()} == {k: v for k, (_, v) in want.items()}
+    text = df.where("k = 'a'").withColumn("pos", F.lpad(F.col("pos").cast("string"), 20, "0"))
+    assert [r.input for r in R.ordered_concat(text, ["k"], "pos", "w", " ").collect()] == ["x x0 y z"]
+    nulls = spark.createDataFrame([("n", 1, None), ("n", 2, "b"), ("m", 1, None)], "k string, pos long, w string")
+    assert {r.k: r.input for r in R.ordered_concat(nulls, ["k"], "pos", "w", " ").collect()} == {"n": "b", "m": ""}
