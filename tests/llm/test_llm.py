@@ -179,14 +179,63 @@ def test_suffix_dedup(docs, none, small):
     assert text[7].startswith("before") and "passage" not in text[7] and text[1] == ROWS[0][1] and text[3] is None
 
 
-def test_license_scan(spark, none):
+def _every_window(text, template, least):
+    """Best Dice coefficient over all windows of words, by multisets."""
+    w, t = license_scan.words_of(text), license_scan.words_of(template)
+    own = collections.Counter(zip(t, t[1:]))
+    best = 0.0
+    for i in range(len(w)):
+        for j in range(i + 2, len(w) + 1):
+            held = collections.Counter(zip(w[i:j], w[i + 1 : j]))
+            best = max(best, 2 * sum((held & own).values()) / (j - i - 1 + len(t) - 1))
+    return best if best >= least else 0.0
+
+
+def test_license_windows_by_brute_force():
+    rng = np.random.default_rng(6)
+    templates = [("A", "a b c d a b"), ("B", "b c d e"), ("C", "c a")]
+    known = license_scan.Templates(templates, 0.8)
+    found = 0
+    for _ in range(300):
+        text = " ".join(rng.choice(list("abcdexy"), rng.integers(0, 16), p=[0.2, 0.2, 0.2, 0.15, 0.15, 0.05, 0.05]))
+        best = collections.defaultdict(float)
+        for score, first, after, t in known.windows(text):
+            best[t] = max(best[t], score)
+            assert score == pytest.approx(_every_window(" ".join(text.split()[first : after + 1]), templates[t][1], 0.8))
+        for t, (_, words) in enumerate(templates):
+            assert best[t] == pytest.approx(_every_window(text, words, 0.8)), (text, t)
+        found += len(best)
+        hits = known.notices(text)
+        spans = sorted((f, e) for _, f, e, _ in hits)
+        assert all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
+    assert found > 100
+
+
+def test_license_scan(spark, none, small):
+    import textwrap
+
+    def wrapped(text, mark="# "):
+        return "int main;\n" + "\n".join(mark + line for line in textwrap.wrap(text, 50)) + "\nreturn 0; words follow here and there"
+
+    full = {n: t for n, t in license_scan.TEMPLATES}  # the last template of each name
     rows = [(1, "Hello there.\nLicensed under the Apache License, Version 2.0.\nBye"), (2, "MIT people like a license"), (3, None), (4, ""), (5, "Some words. Released under the MIT License. And more words follow here."), (6, "Licensed under CC BY-NC 4.0."), (7, LONG)]
-    got = {r.doc_id: (r.license, r.n_matches) for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {1: ("Apache-2.0", 1), 2: (None, 0), 3: (None, 0), 4: (None, 0), 5: ("MIT", 1), 6: ("CC-BY-NC-4.0", 1), 7: (None, 0)}
-    for name, text in license_scan.TEMPLATES:  # pruning loses nothing
-        every = max(license_scan.TEMPLATES, key=lambda t: license_scan.dice(license_scan.bigrams(text), license_scan.bigrams(t[1])))
-        assert license_scan.Templates(license_scan.TEMPLATES, 0.8).best(text) == (every[0], 1.0)
+    rows += [(10, wrapped(license_scan.TEMPLATES[2][1])), (11, wrapped(full["GPL-3.0"], " * ")), (12, wrapped(license_scan._MIT)), (13, wrapped(license_scan._BSD)), (14, wrapped(full["LGPL-2.1"])), (15, wrapped(license_scan.TEMPLATES[18][1]))]
+    rows += [(20, "Released under the MIT License" + " " * 6000), (21, "Released under\n\n\t the   MIT License\n" * 3), (22, "Released under the MIT License. " + LONG + " Licensed under CC BY 4.0"), (23, "released under the mit license"), (23, "released under the mit license"), (None, "Licensed under CC BY-SA 4.0")]
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, license string, n_matches int")
+    got = collections.defaultdict(list)
+    for r in license_scan.scan_licenses(df).collect():
+        got[r.doc_id].append((r.license, r.n_matches))
+    want = {1: ("Apache-2.0", 1), 2: (None, 0), 3: (None, 0), 4: (None, 0), 5: ("MIT", 1), 6: ("CC-BY-NC-4.0", 1), 7: (None, 0), 10: ("Apache-2.0", 1), 11: ("GPL-3.0", 1), 12: ("MIT", 1), 13: ("BSD", 1), 14: ("LGPL-2.1", 1), 15: ("BSD-3-Clause", 1), 20: ("MIT", 1), 21: ("MIT", 3), 22: ("MIT", 2), None: ("CC-BY-SA-4.0", 1)}
+    assert {i: v[0] for i, v in got.items() if i != 23} == want and got[23] == [("MIT", 1)] * 2
+    known = license_scan.Templates(license_scan.TEMPLATES, 0.8)
+    for name, text in license_scan.TEMPLATES:
+        score, _, _, t = known.notices(text)[0]
+        assert score == 1.0 and known.names[t] == name
     assert license_scan.scan_licenses(none).count() == 0
+    # every document of a table whose licence line the plain search for whole templates finds
+    short = [" ".join(license_scan.words_of(t)) for _, t in license_scan.TEMPLATES]
+    plain = {r.doc_id for r in small.collect() if any(s in " ".join(license_scan.words_of(r.text or "")) for s in short)}
+    assert plain <= {r.doc_id for r in license_scan.scan_licenses(small).where("n_matches > 0").collect()} and plain
 
 
 def test_word_bpe(docs, none, small):
