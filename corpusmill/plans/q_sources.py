@@ -100,15 +100,16 @@ def stage_text_files(spark, sf_dir) -> str:
     return path
 
 
-def stage_gzip_corpora(spark, sf_dir) -> str:
-    """``documents`` as one folder per source: gzip members of neighbouring ids, one after the other, cut every
+def stage_gzip_corpora(spark, sf_dir, path: str | None = None, source: str | None = None) -> str:
+    """``documents`` (of one source, if given) as one folder per source: gzip members of neighbouring ids, one after the other, cut every
     ``PART_BYTES`` bytes into parts without regard to members or lines."""
     import gzip
 
     import pandas as pd
 
-    path = staging_path(spark, "gzip-corpora")
-    d = _docs(spark, sf_dir).select("source", F.floor(F.col("doc_id") / MEMBER_DOCS).alias("member"), "doc_id", "text")
+    path = path or staging_path(spark, "gzip-corpora")
+    docs = _docs(spark, sf_dir)
+    d = (docs if source is None else docs.where(F.col("source") == source)).select("source", F.floor(F.col("doc_id") / MEMBER_DOCS).alias("member"), "doc_id", "text")
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("doc_id")

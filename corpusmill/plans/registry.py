@@ -42,6 +42,7 @@ def _load_all() -> None:
     from . import (  # noqa: F401
         q_categories,
         q_dedup,
+        q_registry,
         q_reshape,
         q_sources,
         q_stats,
