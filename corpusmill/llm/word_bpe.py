@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer, normalizers
 
 from .common import id_text, share
 
@@ -30,12 +31,55 @@ CACHE_PIECES = 250_000
 #: A word is at most one run of letters, one digit or one run of other signs (the tokenizer file's own pattern).
 ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
 SPACE = regex.compile(r"\s+")
+#: Planes that hold signs of any class; all others are unassigned or for private use in every Unicode version.
+PLANES = ((0, 0xD800), (0xE000, 0x40000), (0xE0000, 0xE1000))
+#: A sign of each class, none of which takes part in the word pattern by itself.
+LETTER, NUMBER, OTHER = "ª", "²", "§"
+MARK = chr(0x0334)  # a combining mark of the first class: marks of later classes change places with it
+
+
+class Signs:
+    """Where the tokenizers library's Unicode tables differ from Python's, found on the driver by asking the library
+    about every code point: ``lower`` (sign to its lower-case form), ``like`` (sign to one of the same class) and
+    ``fixed`` (signs that its composition neither moves nor joins to others, whatever Python's tables say)."""
+
+    def __init__(self, path: str, word: regex.Pattern):
+        whole = Tokenizer.from_file(path)
+        nfc, low = normalizers.NFC(), normalizers.Lowercase()
+        self.lower: dict[int, str] = {}
+        self.like: dict[int, str] = {}
+        still, joins = set(), set()
+        for lo, hi in PLANES:
+            for at in range(lo, hi, 4096):
+                self._ask([chr(c) for c in range(at, min(hi, at + 4096))], whole, word, nfc, low, still, joins)
+        self.fixed = "".join(sorted(still - joins))
+
+    def _ask(self, chars: list[str], whole: Tokenizer, word: regex.Pattern, nfc, low, still: set[str], joins: set[str]) -> None:
+        for c in chars:
+            small = low.normalize_str(c)
+            if small != c.lower() and c != "Σ":
+                self.lower[ord(c)] = small
+            moved = "a" + c + MARK
+            if unicodedata.normalize("NFC", moved) != moved == nfc.normalize_str(moved):
+                still.add(c)
+            apart = unicodedata.normalize("NFD", c)
+            if len(apart) > 1 and unicodedata.normalize("NFC", apart) == c:
+                (joins if nfc.normalize_str(apart) == c else still).add(apart[-1])
+        # "a" joins letters, "!" joins other signs, numbers stand alone, white space is in no word
+        text, step = "".join([f"a{c} !{c} " for c in chars]), 6
+        theirs = {span for _, span in whole.pre_tokenizer.pre_tokenize_str(text)}
+        ours = {m.span() for m in word.finditer(text)}
+        for i, c in enumerate(chars):
+            both, other, alone = (i * step, i * step + 2), (i * step + 3, i * step + 5), (i * step + 1, i * step + 2)
+            if any((x in theirs) != (x in ours) for x in (both, other, alone)):
+                self.like[ord(c)] = LETTER if both in theirs else OTHER if other in theirs else NUMBER if alone in theirs else " "
 
 
 class WordBpe:
-    """Encoder and decoder of one vocabulary. ``spec`` is the parsed tokenizer file."""
+    """Encoder and decoder of one vocabulary. ``spec`` is the parsed tokenizer file; ``path`` is the same file, which
+    the tokenizers library reads for its Unicode tables."""
 
-    def __init__(self, spec: dict):
+    def __init__(self, spec: dict, path: str):
         model = spec["model"]
         vocab: dict[str, int] = model["vocab"]
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -47,6 +91,8 @@ class WordBpe:
         self.added = added
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.word = regex.compile(split)
+        self.signs = Signs(path, self.word)
+        self.fixed = regex.compile(f"([{regex.escape(self.signs.fixed)}]+)") if self.signs.fixed else None
         self.special = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(added, key=len, reverse=True)) + ")") if added else None
         chars = byte_chars()
         self.inner = np.array([vocab[c] for c in chars], dtype=np.int64)
@@ -104,12 +150,27 @@ class WordBpe:
             sym, word = sym[stay], word[stay]
         return out
 
+    def normal(self, piece: str) -> str:
+        """Composed and in lower case, by the library's tables."""
+        if piece.isascii():
+            return piece.lower()
+        if self.fixed is not None and self.fixed.search(piece):
+            piece = "".join([x if i % 2 else unicodedata.normalize("NFC", x) for i, x in enumerate(self.fixed.split(piece))])
+        else:
+            piece = unicodedata.normalize("NFC", piece)
+        return piece.replace("Σ", "σ").lower().translate(self.signs.lower)
+
+    def words(self, piece: str) -> list[str]:
+        """Words of a normal piece; signs that the library puts in another class are matched by a stand-in."""
+        if piece.isascii():
+            return self.word.findall(piece)
+        return [piece[m.start() : m.end()] for m in self.word.finditer(piece.translate(self.signs.like))]
+
     def _learn(self, pieces: set[str]) -> None:
         """Encode new pieces (no white space in them) into the cache."""
         cut, words = {}, {}
         for p in pieces:
-            low = unicodedata.normalize("NFC", p).replace("Σ", "σ").lower()
-            cut[p] = [w.encode() for w in self.word.findall(low)]
+            cut[p] = [w.encode() for w in self.words(self.normal(p))]
             for w in cut[p]:
                 words.setdefault(w, len(words))
         ids = self.merge(list(words)) if words else []
@@ -164,7 +225,7 @@ def byte_chars() -> list[str]:
 
 def load(path: str) -> WordBpe:
     with open(path, encoding="utf-8") as f:
-        return WordBpe(json.load(f))
+        return WordBpe(json.load(f), path)
 
 
 def _texts(batch: pa.RecordBatch, col: str, size: int = 256) -> Iterator[tuple[int, list]]:

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import unicodedata
 import os
 
 import numpy as np
@@ -253,6 +254,23 @@ def test_word_bpe(docs, none, small):
     assert word_bpe.encode_documents(none, path).count() == 0
 
 
+def test_word_bpe_every_sign():
+    """Every sign of the planes in use, beside letters, digits and other signs, before and after combining marks."""
+    tokenizers = pytest.importorskip("tokenizers")
+    path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    tok, ours = tokenizers.Tokenizer.from_file(path), word_bpe.load(path)
+    signs = [chr(c) for lo, hi in word_bpe.PLANES for c in range(lo, hi)]
+    texts = [f"a{c}b {c}! 1{c}{c}'s" for c in signs]
+    marked = [c for c in signs if unicodedata.category(c) in ("Mn", "Mc", "Cn") and ord(c) < 0x20000]
+    texts += [f"a{c}\u0334 e\u0345{c}\u0300 {c}\u0316x" for c in marked]
+    texts += ["x" + unicodedata.normalize("NFD", c) for c in signs if unicodedata.normalize("NFD", c) != c]
+    for at in range(0, len(texts), 20_000):
+        part = texts[at : at + 20_000]
+        for text, (ids, said), want in zip(part, ours.encode_batch(part), tok.encode_batch(part, add_special_tokens=False)):
+            assert np.frombuffer(ids, "<u4").tolist() == want.ids, ascii(text)
+            assert said == tok.decode(want.ids, skip_special_tokens=False), ascii(text)
+
+
 def test_block_max_is_exact():
     rng = np.random.default_rng(3)
     vectors = [{int(t): float(rng.random()) for t in rng.choice(30, 4, replace=False)} for _ in range(500)]
