@@ -6,6 +6,10 @@ models that fall back on their unigrams by Dirichlet smoothing; the vocabulary i
 input. A document's first token has no word before it and takes its unigram loss. A document's score is the
 mean over its tokens of the target's loss minus the background's; lower is more like the target.
 
+The models are matched: background counts weigh as much as if the background had as many tokens as the target, so
+the same smoothing acts on both; and no document is scored by a model that holds it, as its own counts are taken out
+of each model that it is part of first. So a target document and one like it that is not marked score alike.
+
 Texts are packed into blocks of about ``BLOCK`` characters. The marks of target documents are as many as the
 corpus has of them, so they are never broadcast: ids and marks meet in a shuffle join at every size. A block's
 n-grams are counted before they are shuffled, so the most frequent n-gram has one entry a block, not one an
@@ -15,14 +19,15 @@ deals) and answers each block with the sums in the order in which it asked. Sums
 task holds the counts of one block or one bucket, never a whole model.
 
 Defined cases: NULL and empty texts have no tokens and score 0 with NULL losses; without target documents the
-target model is uniform over the vocabulary; a document's label rows count once however often they repeat;
-repeated documents count as often as they occur; other columns are ignored.
+target model is uniform over the vocabulary and background counts weigh 1; a document's label rows count once however often they repeat;
+repeated documents count as often as they occur, and each is scored without one occurrence of itself; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,14 +51,6 @@ SUMS = "bucket long, block long, n long, sums binary, n_words long, background l
 SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
 
 
-class Numbers(dict):
-    """Words to numbers from 0, by first sight."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = n = len(self)
-        return n
-
-
 def _pack(block_size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held, ids, texts = TaskContext.get().partitionId() << 32, 0, [], []
@@ -92,21 +89,21 @@ class Block:
 
     def __init__(self, size: int, packed: bytes, buckets: int):
         texts = pa.ipc.open_stream(pa.decompress(packed, size, "zstd")).read_all().column(0).to_pylist()
-        numbers, parts = Numbers(), []
-        for text in texts:
-            words = WORD.findall((text or "").lower())
-            parts.append(np.fromiter(map(numbers.__getitem__, words), dtype=np.int64, count=len(words)))
-        self.sizes = np.array([len(p) for p in parts], dtype=np.int64)
-        self.words = sorted(numbers)
+        found = [WORD.findall((text or "").lower()) for text in texts]
+        self.sizes = np.array([len(words) for words in found], dtype=np.int64)
+        tokens = pa.array(chain.from_iterable(found), pa.large_string(), size=int(self.sizes.sum())).dictionary_encode()
+        del found
+        order = pc.array_sort_indices(tokens.dictionary).to_numpy()
+        self.words = tokens.dictionary.take(pa.array(order)).cast(pa.string())
         self.n = n = len(self.words)
         place = np.empty(n, dtype=np.int64)
-        place[np.fromiter(map(numbers.__getitem__, self.words), dtype=np.int64, count=n)] = np.arange(n)
-        self.ids = place[np.concatenate(parts)] if n else np.zeros(0, np.int64)
+        place[order] = np.arange(n)
+        self.ids = place[tokens.indices.to_numpy()] if n else np.zeros(0, np.int64)
         rest = np.ones(len(self.ids), dtype=bool)
         rest[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = False
         self.later = np.flatnonzero(rest)
         self.pairs, self.pair_at = np.unique(self.ids[self.later - 1] * n + self.ids[self.later], return_inverse=True)
-        h = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 10) for w in self.words), dtype=np.uint64, count=n)
+        h = np.fromiter((xxhash.xxh64_intdigest(w, 10) for w in self.words.cast(pa.binary()).to_pylist()), dtype=np.uint64, count=n)
         if n:
             z = (h[self.pairs // n] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[self.pairs % n] * np.uint64(0xC2B2AE3D27D4EB4F))
             h = np.concatenate([h, z ^ (z >> np.uint64(29))])
@@ -117,6 +114,22 @@ class Block:
         """Count of each entry over the tokens (a pair's: over its second token) that ``mark`` holds for."""
         return np.concatenate([np.bincount(self.ids[mark], minlength=self.n), np.bincount(self.pair_at[mark[self.later]], minlength=len(self.pairs))]).astype(np.int64)
 
+    def own(self) -> tuple[np.ndarray, np.ndarray]:
+        """How often each token's word, and each later token's pair, occurs in its own text."""
+        ends = np.cumsum(self.sizes)
+        return _repeats(self.ids, ends), _repeats(self.pair_at, np.cumsum(np.maximum(self.sizes - 1, 0)))
+
+
+def _repeats(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How often each value occurs in its own stretch; the stretches end at ``ends``."""
+    out, lo = np.zeros(len(values), dtype=np.int64), 0
+    for hi in ends.tolist():
+        if hi > lo:
+            _, at, n = np.unique(values[lo:hi], return_inverse=True, return_counts=True)
+            out[lo:hi] = n[at]
+        lo = hi
+    return out
+
 
 def _count(buckets: int):
     def run(texts: pa.Table, marked: pa.Table) -> pa.Table:
@@ -128,10 +141,9 @@ def _count(buckets: int):
                 continue
             mark = np.repeat(np.array([i in wanted for i in row["ids"]], dtype=bool), b.sizes)
             both = [b.counts(np.ones(len(b.ids), dtype=bool))[b.order], b.counts(mark)[b.order]]
-            words = pa.array(b.words, pa.string())
             # words hold no white space, so a pair's text is no other pair's and no word's
-            pairs = pc.binary_join_element_wise(words.take(pa.array(b.pairs // b.n)), words.take(pa.array(b.pairs % b.n)), " ")
-            grams = pa.concat_arrays([words, pairs]).take(pa.array(b.order))
+            pairs = pc.binary_join_element_wise(b.words.take(pa.array(b.pairs // b.n)), b.words.take(pa.array(b.pairs % b.n)), " ")
+            grams = pa.concat_arrays([b.words, pairs]).take(pa.array(b.order))
             dealt = b.bucket[b.order]
             starts = np.flatnonzero(np.r_[True, dealt[1:] != dealt[:-1]])
             edges = np.r_[starts, len(dealt)]
@@ -170,22 +182,31 @@ def _add(entries: pa.Table) -> pa.Table:
 
 
 def _score(buckets: int, n_words: int, totals: dict[str, int]):
-    def run(texts: pa.Table, sums: pa.Table) -> pa.Table:
+    weights = {"target": 1.0, "background": totals["target"] / totals["background"] if totals["target"] else 1.0}
+
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
         for row in texts.to_pylist():  # one row
             b = Block(row["size"], row["texts"], buckets)
-            asked = sorted(sums.to_pylist(), key=lambda r: r["bucket"])
+            rows = answers.to_pylist()
+            asked = sorted((r for r in rows if r["wanted"] is None), key=lambda r: r["bucket"])
+            wanted = {i for r in rows for i in r["wanted"] or ()}
             parts = [np.frombuffer(pa.decompress(r["sums"], 16 * r["n"], "zstd"), np.int64).reshape(2, -1) for r in asked]
             loss = {}
             if b.n:
                 found = np.empty((2, len(b.order)), dtype=np.int64)
                 found[:, b.order] = np.concatenate(parts, axis=1)
+                own_word, own_pair = b.own()
+                size = np.repeat(b.sizes, b.sizes)
+                holds = {"background": np.ones(len(b.ids), dtype=np.int64), "target": np.repeat(np.array([i in wanted for i in row["ids"]], dtype=np.int64), b.sizes)}
                 for which, name in enumerate(MODELS):
-                    seen, pairs = found[which, : b.n].astype(np.float64), found[which, b.n :]
-                    unigram = (seen + 1.0) / (totals[name] + n_words)
+                    k, held = weights[name], holds[name]
+                    seen = k * (found[which, : b.n][b.ids] - held * own_word)  # of each token, elsewhere
+                    unigram = (seen + 1.0) / (k * (totals[name] - held * size) + n_words)
                     context, both = np.zeros(len(b.ids)), np.zeros(len(b.ids))
-                    context[b.later], both[b.later] = seen[b.ids[b.later - 1]], pairs[b.pair_at]
-                    each = -np.log((both + STRENGTH * unigram[b.ids]) / (context + STRENGTH))
+                    context[b.later] = seen[b.later - 1]
+                    both[b.later] = k * (found[which, b.n :][b.pair_at] - held[b.later] * own_pair)
+                    each = -np.log((both + STRENGTH * unigram) / (context + STRENGTH))
                     loss[name] = [float(each[end - k : end].mean()) if k else None for end, k in zip(np.cumsum(b.sizes), b.sizes)]
             target, background = (loss.get(name, [None] * len(b.sizes)) for name in ("target", "background"))
             score = [0.0 if x is None else x - y for x, y in zip(target, background)]
@@ -215,5 +236,7 @@ def score_documents(docs: DataFrame, wanted: DataFrame, block: int = BLOCK) -> D
     sums = stage(entries.groupBy("bucket").applyInArrow(_add, SUMS), "lm-counts")
     whole = sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_words", *MODELS)]).first()
     run = _score(buckets, whole["n_words"], {name: whole[name] for name in MODELS})
-    answers = sums.select("block", "bucket", "n", "sums")
+    answers = sums.select("block", "bucket", "n", "sums", F.lit(None).cast("array<long>").alias("wanted")).unionByName(
+        marked.groupBy(F.col("at").alias("block")).agg(F.collect_list("doc_id").alias("wanted")), allowMissingColumns=True
+    )
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, SCORES)

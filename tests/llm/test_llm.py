@@ -355,28 +355,43 @@ def test_lm_difference(spark, docs, none):
 
 
 def test_lm_difference_is_exact(docs, small):
-    """Losses equal those of plain counts of every word and pair, over many blocks and with rare words."""
+    """Losses equal those of plain counts of every word and pair of all other texts, over many blocks and with rare words."""
     for df, block in ((docs, 100), (small, 20_000), (small, lm_difference.BLOCK)):
         rows = [(r.doc_id, lm_difference.WORD.findall((r.text or "").lower())) for r in df.collect()]
-        want = []
-        losses = {}
         words = {w for _, t in rows for w in t}
-        for name, mine in (("target", [t for i, t in rows if i is not None and i % 3 == 0]), ("background", [t for _, t in rows])):
-            one = collections.Counter(w for t in mine for w in t)
-            two = collections.Counter(p for t in mine for p in zip(t, t[1:]))
-            uni = {w: (one[w] + 1) / (sum(one.values()) + len(words)) for w in words}
-            losses[name] = [
-                np.mean([-np.log(uni[t[0]])] + [-np.log((two[p] + 32 * uni[p[1]]) / (one[p[0]] + 32)) for p in zip(t, t[1:])]) if t else None
-                for _, t in rows
-            ]
-        for (i, t), a, b in zip(rows, losses["target"], losses["background"]):
-            want.append((str(i), len(t), a or 0.0, b or 0.0, (a or 0.0) - (b or 0.0)))
+        is_target = lambda i: i is not None and i % 3 == 0
+        sizes = [sum(len(t) for i, t in rows if wanted(i)) for wanted in (is_target, lambda i: True)]
+        losses = {}
+        for name, wanted, weight in (("target", is_target, 1.0), ("background", lambda i: True, sizes[0] / sizes[1])):
+            one = collections.Counter(w for i, t in rows if wanted(i) for w in t)
+            two = collections.Counter(p for i, t in rows if wanted(i) for p in zip(t, t[1:]))
+            whole = sum(one.values())
+            losses[name] = []
+            for i, t in rows:
+                mine, pairs = (collections.Counter(t), collections.Counter(zip(t, t[1:]))) if wanted(i) else ({}, {})
+                n = {w: weight * (one[w] - mine.get(w, 0)) for w in t}
+                uni = {w: (n[w] + 1) / (weight * (whole - len(t) * wanted(i)) + len(words)) for w in t}
+                each = [-np.log((weight * (two[p] - pairs.get(p, 0)) + 32 * uni[p[1]]) / (n[p[0]] + 32)) for p in zip(t, t[1:])]
+                losses[name].append(np.mean([-np.log(uni[t[0]]), *each]) if t else None)
+        want = [(str(i), len(t), a or 0.0, b or 0.0, (a or 0.0) - (b or 0.0)) for (i, t), a, b in zip(rows, losses["target"], losses["background"])]
         got = lm_difference.score_documents(df, df.where("doc_id % 3 = 0").select("doc_id"), block=block).collect()
         got = sorted((str(r.doc_id), r.n_tokens, r.target_loss or 0.0, r.background_loss or 0.0, r.score) for r in got)
         assert [g[:2] for g in got] == [w[:2] for w in sorted(want)]
         assert np.allclose([g[2:] for g in got], [w[2:] for w in sorted(want)])
 
 
+def test_lm_difference_marked_and_unmarked_alike(spark):
+    """Marking half of the wanted documents scores the other half alike: the score is not who was marked."""
+    rng = np.random.default_rng(5)
+    draw = lambda first: " ".join(f"w{first + int(x)}" for x in rng.zipf(1.3, 60) % 300)
+    rows = [(i, draw(0 if i % 2 else 150)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lm_difference.score_documents(df, df.where("doc_id % 4 = 1").select("doc_id")).collect()}
+    marked, alike, others = ([got[i] for i in range(k, 1200, step)] for k, step in ((1, 4), (3, 4), (0, 2)))
+    noise = 4 * np.sqrt(np.var(marked) / len(marked) + np.var(alike) / len(alike))
+    assert abs(np.mean(marked) - np.mean(alike)) < noise < np.mean(others) - np.mean(alike)
+
+
 def test_near_copies_by_brute_force(spark, docs, small):
     """The pipeline's second stage keeps one row of each component; equal ids with other texts are other documents."""
     text = " ".join(f"alpha{i}" for i in range(60))
