@@ -26,7 +26,7 @@ from .common import id_text
 
 WIDE, SIGNS = 4, 128
 #: Rows that one part of the ordered table holds on average.
-PART_ROWS = 4096
+PART_ROWS = 8192
 CUT = re.compile(r"\n+|(?<=[.!?])\s+")
 
 
@@ -68,39 +68,51 @@ def likeness(a, b) -> float:
     return min(1.0, max(0.0, 2.0 * float(x @ y) / whole)) if whole else 0.0
 
 
+def _place(none: np.ndarray, down: np.ndarray, crc: np.ndarray, chars: np.ndarray) -> np.ndarray:
+    """Order keys as byte strings of one width, which compare as the four numbers do."""
+    raw = np.zeros(len(none), dtype=[("none", ">u1"), ("down", ">u8"), ("crc", ">u4"), ("chars", ">u4")])
+    raw["none"], raw["crc"], raw["chars"] = none, crc, chars
+    raw["down"] = down.astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63)
+    return raw.view("S17")
+
+
+def _deal(heads: np.ndarray):
+    """Twice the number of the part that a row belongs to, plus 1 for a part's first row."""
+
+    def run(none: pa.Array, down: pa.Array, crc: pa.Array, chars: pa.Array) -> pa.Array:
+        key = _place(*(x.to_numpy(zero_copy_only=False) for x in (none, down, crc, chars)))
+        part = np.searchsorted(heads, key, side="right") - 1
+        return pa.array(2 * part + (heads[np.maximum(part, 0)] == key), pa.int64())
+
+    return F.arrow_udf(run, "long")
+
+
 def fingerprint_edits(docs: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     """Per document: ``n_chars``, the SHA-256 of its edited text, both fingerprints and two likenesses.
 
     The edited text is the first half with as many characters of the next document (descending id, the last
-    followed by the first). Ids are cut into ranges at approximate quantiles; each range also gets the first
-    row of the next one, so one sort within ranges finds every successor and texts are shuffled once.
+    followed by the first). Only order keys (id, checksum, length) are range-partitioned, so rows of one id are cut
+    too; the first key of each part, 17 bytes for about ``part_rows`` rows, is gathered and broadcast. A row finds
+    its part by binary search and goes there once, the first row of a part also to the end of the part before it;
+    one task sorts one part, so every successor is in the same task.
     """
-    src = id_text(docs).select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text")
-    ).withColumn("place", F.coalesce(-F.col("doc_id").cast("decimal(20,0)"), F.lit(str(1 << 63)).cast("decimal(20,0)")))
-    parts = max(1, -(-src.count() // part_rows))
-    steps = [i / parts for i in range(1, parts)]
-    cuts = sorted(set(src.select(F.percentile_approx("doc_id", steps, 10 * parts + 100)).first()[0] or [])) if steps else []
-    edges = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")
-    # part 0 has the largest ids; NULL ids belong to the last part
-    part = F.when(F.col("doc_id").isNull(), F.lit(len(cuts))).otherwise(F.size(F.filter(edges, lambda c: c > F.col("doc_id"))))
-    src = src.withColumn("part", part)
-    heads = src.groupBy("part").agg(F.min(F.struct("place", F.crc32(F.encode("text", "UTF-8")).alias("c"), F.length("text").alias("l"))).alias("h"))
-    heads = sorted((r["part"], r["h"]["place"], r["h"]["c"], r["h"]["l"]) for r in heads.collect())  # one row a part
-    if not heads:
+    src = id_text(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select(
+        "doc_id", "text", F.col("doc_id").isNull().cast("int").alias("none"), F.coalesce(F.bitwise_not("doc_id"), F.lit(0)).cast("long").alias("down"),
+        F.crc32(F.encode("text", "UTF-8")).alias("crc"), F.length("text").alias("chars"),
+    )
+    order = ["none", "down", "crc", "chars"]
+    parts = max(1, -(-docs.count() // part_rows))
+    ranged = src.select(*order).repartitionByRange(parts, *order).groupBy(F.spark_partition_id().alias("part")).agg(F.min(F.struct(*order)).alias("head"))
+    table = ranged.select("head.*").toArrow()
+    if not table.num_rows:
         return docs.sparkSession.createDataFrame([], SCHEMA)
-    before = {heads[i][0]: heads[i - 1][0] for i in range(len(heads))}
-    crc, size = F.crc32(F.encode("text", "UTF-8")), F.length("text")
-    lookup = F.create_map(*[x for p, place, c, length in heads for x in (F.lit(int(p)), F.struct(F.lit(str(place)).cast("decimal(20,0)").alias("place"), F.lit(int(c)).cast("long").alias("c"), F.lit(int(length)).alias("l"), F.lit(int(before[p])).alias("to")))])
-    head = F.element_at(lookup, F.col("part"))
-    is_head = (F.col("place") == head["place"]) & (crc == head["c"]) & (size == head["l"])
-    copies = F.when(
-        is_head, F.array(F.struct(F.col("part").alias("p"), F.lit(False).alias("extra")), F.struct(head["to"].alias("p"), F.lit(True).alias("extra")))
-    ).otherwise(F.array(F.struct(F.col("part").alias("p"), F.lit(False).alias("extra"))))
-    rows = src.select("doc_id", "place", "text", crc.alias("crc"), F.explode(copies).alias("to"))
-    rows = rows.select("doc_id", "place", "text", "crc", F.col("to.p").alias("p"), F.col("to.extra").alias("extra"))
-    dealt = rows.repartition(max(1, len(heads)), "p").sortWithinPartitions("p", "extra", "place", "crc", F.length("text"))
-    return dealt.select("doc_id", "text", "p", "extra").mapInArrow(_edit_ordered, SCHEMA)
+    heads = np.unique(_place(*(table.column(c).to_numpy() for c in order)))
+    dealt = src.withColumn("dealt", _deal(heads)(*order)).withColumn("p", F.shiftright("dealt", 1).cast("int"))
+    stays = F.struct(F.col("p").alias("p"), F.lit(False).alias("extra"))
+    follows = F.struct(F.pmod(F.col("p") - 1, F.lit(len(heads))).alias("p"), F.lit(True).alias("extra"))
+    to = F.explode(F.when(F.col("dealt") % 2 == 1, F.array(stays, follows)).otherwise(F.array(stays))).alias("to")
+    rows = dealt.select("doc_id", "text", *order, to).select("doc_id", "text", *order, "to.p", "to.extra")
+    return rows.repartitionById(len(heads), "p").sortWithinPartitions("extra", *order).select("doc_id", "text", "p", "extra").mapInArrow(_edit_ordered, SCHEMA)
 
 
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

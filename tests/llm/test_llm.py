@@ -2,11 +2,13 @@
 
 import collections
 import hashlib
-import unicodedata
 import os
+import unicodedata
+import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from corpusmill.llm import feistel_shards, length_packing, license_scan, lm_difference, multi_index, multiset_hash, simhash, suffix_dedup, toxicity, word_bpe
@@ -141,6 +143,18 @@ def test_multiset_hash(docs, none, small):
     assert multiset_hash.fingerprint_edits(none).count() == 0
 
 
+def test_multiset_hash_of_a_hot_id(spark):
+    """A third of all rows has one id and another part none: their parts are cut like others, and successors stay right."""
+    rows = [(7 if i % 3 == 0 else None if i % 7 == 0 else i - 200, "word " * (i + 1)) for i in range(400)] + [(-(1 << 63), "low"), ((1 << 63) - 1, "high")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    rows.sort(key=lambda r: (r[0] is None, -(r[0] or 0), zlib.crc32(r[1].encode()), len(r[1])))
+    want = [(str(i), hashlib.sha256((t[: len(t) - len(t) // 2] + n[: len(t) // 2]).encode()).hexdigest()) for (i, t), (_, n) in zip(rows, rows[1:] + rows[:1])]
+    out = multiset_hash.fingerprint_edits(df, part_rows=10)
+    assert sorted((str(r.doc_id), r.edited_sha256) for r in out.collect()) == sorted(want)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 60
+
+
 def test_multiset_likeness():
     """Likeness against true multisets, very long repeats included."""
     long, half = multiset_hash.combine([b"line"] * 40_000), multiset_hash.combine([b"line"] * 20_000)
