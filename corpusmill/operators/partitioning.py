@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # Below this many input bytes per core, a round-robin shuffle costs less than running the
 # text work on the few tasks a small scan yields (a Parquet file splits only at row groups).
@@ -14,21 +13,11 @@ SPREAD_MAX_BYTES = 16 * 1024 ** 3
 TASKS_PER_CORE = 4
 
 
-_SIZES: dict[tuple[str, ...], int] = {}
-
-
 def input_bytes(df: DataFrame) -> int:
-    """Total size of the files behind ``df`` (listing only, no file body is read).
-
-    Memoised per file list: the size only steers the spread decision, never a result.
-    """
-    files = tuple(sorted(df.inputFiles()))
-    if not files:
-        return 0
-    if files not in _SIZES:
-        total = df.sparkSession.read.format("binaryFile").load(list(files)).agg(F.sum("length")).first()[0]
-        _SIZES[files] = int(total or 0)
-    return _SIZES[files]
+    """Total size of what the scans below ``df`` read, from the planner's statistics; no job runs and no file is
+    listed again. It only steers the spread decision, never a result."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def spread(df: DataFrame, cores: int | None = None) -> DataFrame:
@@ -39,9 +28,9 @@ def spread(df: DataFrame, cores: int | None = None) -> DataFrame:
     enough splits, and reshuffling them would cost a full network pass.
     """
     cores = cores or df.sparkSession.sparkContext.defaultParallelism
+    if input_bytes(df) > min(cores * SPREAD_BYTES_PER_CORE, SPREAD_MAX_BYTES):
+        return df  # before any file list reaches the driver's Python
     files = df.inputFiles()
     if not files or len(files) >= cores:
         return df
-    if input_bytes(df) > min(cores * SPREAD_BYTES_PER_CORE, SPREAD_MAX_BYTES):
-        return df
     return df.repartition(cores * TASKS_PER_CORE)

@@ -20,16 +20,18 @@ from ..operators.stats import stats_by_source, stats_merge
 from ..schema import STATS_SCHEMA
 
 
-def read_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+#: Files of one micro-batch; a backlog is worked off in batches of this size.
+FILES_PER_TRIGGER = 10_000
+
+
+def read_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Whole ``*.txt`` files arriving below ``path`` (one row per file), newline-normalised.
 
     The source directory layout is ``<path>/<source>/<file>.txt``; the source name is the
     parent folder of each file.
     """
     reader = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "*.txt")
-    reader = reader.option("recursiveFileLookup", True)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = reader.option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.load(path).select(F.col("_metadata.file_path").alias("file_path"), "value")
     return raw.select(
         "file_path",
@@ -56,6 +58,7 @@ def start_ingest(
     stats_dir: str,
     checkpoint_dir: str,
     available_now: bool = True,
+    max_files_per_trigger: int = FILES_PER_TRIGGER,
 ) -> StreamingQuery:
     """Clean new files, append them partitioned by source, and write their stats below ``stats_dir``.
 
@@ -63,7 +66,7 @@ def start_ingest(
     of the partial stats), so a restarted query that replays a batch after an executor or driver loss replaces
     that batch's output. ``ingested_stats`` reads the merged table.
     """
-    cleaned = clean_stream(read_text_stream(spark, source_dir))
+    cleaned = clean_stream(read_text_stream(spark, source_dir, max_files_per_trigger))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = f"{corpus_dir.rstrip('/')}/batch={batch_id}"

@@ -1,6 +1,7 @@
 """Physical-plan properties that the scale design relies on."""
 
 import io
+import os
 from contextlib import redirect_stdout
 
 from pyspark.sql import functions as F
@@ -63,3 +64,25 @@ def test_spread_only_small_narrow_inputs(spark, monkeypatch):
     assert "RoundRobinPartitioning" not in _plan(PT.spread(docs, cores=8000))
     # one file per core or more: the scan already has the splits
     assert PT.spread(docs, cores=1) is docs
+
+
+def test_broadcast_is_checked_by_bytes(spark):
+    """Few but long rows are no broadcast side; many short ones within both bounds are."""
+    from corpusmill.operators import joins
+
+    long = spark.range(20).select("id", F.expr("repeat('x', 1000)").alias("text"), F.array(F.lit("y" * 500)).alias("parts"))
+    assert joins.is_small(long) and not joins.is_small(long, max_bytes=20_000)
+    assert not joins.is_small(long, max_rows=19) and joins.is_small(long.limit(0))
+    big = spark.range(100).toDF("id")
+    kept = joins.join_small(big, long.select("id", "text"), "id", "left_semi", max_bytes=1_000)
+    assert kept.count() == 20
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert not hinted(kept) and hinted(joins.join_small(big, long, "id", "left_semi"))
+
+
+def test_input_size_comes_from_the_planner(spark):
+    from corpusmill.operators.partitioning import input_bytes
+
+    path = f"{SF_SMALL}/documents.parquet"
+    size = input_bytes(spark.read.parquet(path))
+    assert 0 < size <= 2 * os.path.getsize(path)

@@ -45,3 +45,14 @@ def test_incremental_ingest_matches_batch(spark, tmp_dir):
     start_ingest(spark, src, corpus, stats, ckpt).awaitTermination()
     assert {r.label: r for r in ingested_stats(spark, stats).collect()} == got
     assert spark.read.parquet(corpus).count() == sum(r.nb_docs for r in want.values())
+
+
+def test_a_backlog_is_taken_in_batches(spark, tmp_dir):
+    """Five files with two a batch make three batches; the merged stats are those of all files."""
+    src = os.path.join(tmp_dir, "in")
+    corpus, stats, ckpt = (os.path.join(tmp_dir, d) for d in ("corpus", "stats", "ckpt"))
+    for i in range(5):
+        _write(src, "A", f"{i}.txt", f"Trois mots ici numéro {i}.")
+    start_ingest(spark, src, corpus, stats, ckpt, max_files_per_trigger=2).awaitTermination()
+    assert sorted(d for d in os.listdir(corpus) if d.startswith("batch=")) == ["batch=0", "batch=1", "batch=2"]
+    assert [r.nb_docs for r in ingested_stats(spark, stats).collect()] == [5]
