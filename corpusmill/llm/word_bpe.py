@@ -13,6 +13,7 @@ independent, so repeated rows, ties and other columns change nothing.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import unicodedata
@@ -53,6 +54,9 @@ class Signs:
             for at in range(lo, hi, 4096):
                 self._ask([chr(c) for c in range(at, min(hi, at + 4096))], whole, word, nfc, low, still, joins)
         self.fixed = "".join(sorted(still - joins))
+        known = {*self.fixed, *map(chr, self.lower), *map(chr, self.like)}
+        #: A text without any of these is treated alike by both tables.
+        self.odd = frozenset(known | {c.upper() for c in known} | {unicodedata.normalize("NFD", c)[-1] for c in known})
 
     def _ask(self, chars: list[str], whole: Tokenizer, word: regex.Pattern, nfc, low, still: set[str], joins: set[str]) -> None:
         for c in chars:
@@ -119,24 +123,23 @@ class WordBpe:
         rank[:-1][ok], place[:-1][ok] = self.rank[at[ok]], at[ok]
         return rank, place
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """Token ids of many non-empty words."""
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of many non-empty words, one after another, and where each word's ids end."""
         length = np.array([len(w) for w in words], dtype=np.int64)
         flat = np.frombuffer(b"".join(words), dtype=np.uint8)
         sym = self.inner[flat]
         ends = np.cumsum(length) - 1
         sym[ends] = self.last[flat[ends]]
         word = np.repeat(np.arange(len(words)), length)
-        out: list[np.ndarray] = [np.empty(0, np.int64)] * len(words)
+        done: list[tuple[np.ndarray, np.ndarray]] = []
         while len(sym):
             rank, place = self._ranks(sym, word)
             starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
             sizes = np.diff(np.concatenate([starts, [len(sym)]]))
             least = np.minimum.reduceat(rank, starts)
             over = least == np.iinfo(np.int64).max
-            for k, s, n in zip(word[starts[over]], starts[over], sizes[over]):
-                out[k] = sym[s : s + n]
             stay = ~np.repeat(over, sizes)
+            done.append((word[~stay], sym[~stay]))
             if not stay.any():
                 break
             hit = np.flatnonzero((rank == np.repeat(least, sizes)) & stay)
@@ -148,36 +151,37 @@ class WordBpe:
             sym[hit] = self.made[place[hit]]
             stay[hit + 1] = False
             sym, word = sym[stay], word[stay]
-        return out
-
-    def normal(self, piece: str) -> str:
-        """Composed and in lower case, by the library's tables."""
-        if piece.isascii():
-            return piece.lower()
-        if self.fixed is not None and self.fixed.search(piece):
-            piece = "".join([x if i % 2 else unicodedata.normalize("NFC", x) for i, x in enumerate(self.fixed.split(piece))])
-        else:
-            piece = unicodedata.normalize("NFC", piece)
-        return piece.replace("Σ", "σ").lower().translate(self.signs.lower)
-
-    def words(self, piece: str) -> list[str]:
-        """Words of a normal piece; signs that the library puts in another class are matched by a stand-in."""
-        if piece.isascii():
-            return self.word.findall(piece)
+        word, sym = (np.concatenate(x) for x in zip(*done))
+        return sym[np.argsort(word, kind="stable")], np.cumsum(np.bincount(word, minlength=len(words)))
+
+    def words(self, piece: str, plain: bool = False) -> list[str]:
+        """Words of a piece, composed and in lower case by the library's tables; ``plain``: it has no odd sign."""
+        if plain or self.signs.odd.isdisjoint(piece):
+            return self.word.findall(unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower())
+        parts = self.fixed.split(piece) if self.fixed is not None else [piece]
+        piece = "".join([x if i % 2 else unicodedata.normalize("NFC", x) for i, x in enumerate(parts)])
+        piece = piece.replace("Σ", "σ").lower().translate(self.signs.lower)
+        # signs that the library puts in another class are matched by a stand-in
         return [piece[m.start() : m.end()] for m in self.word.finditer(piece.translate(self.signs.like))]
 
     def _learn(self, pieces: set[str]) -> None:
         """Encode new pieces (no white space in them) into the cache."""
         cut, words = {}, {}
+        plain = self.signs.odd.isdisjoint("".join(pieces))
         for p in pieces:
-            cut[p] = [w.encode() for w in self.words(self.normal(p))]
+            cut[p] = [w.encode() for w in self.words(p, plain)]
             for w in cut[p]:
                 words.setdefault(w, len(words))
-        ids = self.merge(list(words)) if words else []
-        raw = [x.astype("<u4").tobytes() for x in ids]
-        said = [" ".join([self.tokens[i] for i in x.tolist()]) for x in ids]
+        ids, ends = self.merge(list(words)) if words else (np.empty(0, np.int64),) * 2
+        raw, said = ids.astype("<u4").tobytes(), list(map(self.tokens.__getitem__, ids.tolist()))
+        places = [0, *ends.tolist()]
+        got = [(raw[4 * lo : 4 * hi], said[lo] if hi - lo == 1 else " ".join(said[lo:hi])) for lo, hi in zip(places, places[1:])]
         for p, ws in cut.items():
-            self.cache[p] = (b"".join([raw[words[w]] for w in ws]), " ".join([said[words[w]] for w in ws]))
+            if len(ws) == 1:
+                self.cache[p] = got[words[ws[0]]]
+            else:
+                parts = [got[words[w]] for w in ws]
+                self.cache[p] = (b"".join([x for x, _ in parts]), " ".join([x for _, x in parts]))
 
     def pieces(self, text: str) -> list[str]:
         """White-space separated pieces; a special token's string is a piece of its own."""
@@ -196,7 +200,17 @@ class WordBpe:
         return out
 
     def encode_batch(self, texts: list[str | None]) -> list[tuple[bytes, str]]:
-        """Per text: its ids as little-endian 32-bit integers, and its decoded text."""
+        """Per text: its ids as little-endian 32-bit integers, and its decoded text. The garbage collector rests
+        meanwhile: it would go over the whole cache again and again, which holds no cycles."""
+        running = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if running:
+                gc.enable()
+
+    def _encode(self, texts: list[str | None]) -> list[tuple[bytes, str]]:
         out = []
         if len(self.cache) > CACHE_PIECES:
             self.cache = {}
