@@ -16,7 +16,9 @@ most significant digit down, and a suffix that is alone after a pass leaves:
    repeated windows.
 
 Keys are 64-bit hashes compared only among suffixes that already share the 64-bit hash of the piece. Counts are
-aggregated before the shuffles, so a passage that a third of the documents share stays a partial count.
+aggregated before the shuffles, so a passage that a third of the documents share stays a partial count. The digits
+that are met again are written before suffixes are joined with them: both sides of such a join are then plain
+shuffles, and Spark may split the suffixes of a hot digit over many tasks.
 
 Defined cases: NULL texts are empty; texts shorter than ``window`` keep all bytes; equal rows (same id and
 text) are repeats of each other; rows with equal or NULL ids and different texts are separate; very long texts
@@ -183,9 +185,10 @@ def removed_spans(src: DataFrame, window: int = WINDOW) -> DataFrame:
     schema = "key long, mark long, g long, c long, p long, n int, o int"
     runs = stage(src.mapInArrow(_runs(window), schema), "suffix-runs")
     digit = runs.groupBy("g").agg(F.count(F.lit(1)).alias("all"), F.min("c").alias("c0"), F.max("c").alias("c1"))
-    digit = digit.where("all >= 2").select("g", (F.col("c0") != F.col("c1")).alias("many"))
-    left = stage(runs.join(digit, "g"), "suffix-left")
+    digit = stage(digit.where("all >= 2").select("g", (F.col("c0") != F.col("c1")).alias("many")), "suffix-digits")
+    left = stage(runs.join(digit.hint("merge"), "g"), "suffix-left")
     unstage(runs)
+    unstage(digit)
     kinds = left.where("many").groupBy("g", "c").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("key", "mark", "p", "n", "o")).alias("r"))
     kinds = stage(kinds.select("g", "c", "m", "r.*"), "suffix-kinds")
     of_run = F.struct("g", "p", F.col("n").cast("long").alias("n"), F.col("o").cast("long").alias("o"), "m")
@@ -193,17 +196,19 @@ def removed_spans(src: DataFrame, window: int = WINDOW) -> DataFrame:
     texts = picked.join(src, ["key", "mark"]).dropDuplicates(["key", "mark"]).select("key", "mark", "text", "runs")
     parts = stage(texts.mapInArrow(_parts(window), "key long, mark long, g long, k long, v long, p long, n int, alone boolean, w array<long>"), "suffix-parts")
     digit = parts.groupBy("g", "k").agg(F.count(F.lit(1)).alias("all"), F.min("v").alias("v0"), F.max("v").alias("v1"))
-    digit = digit.where("all >= 2").select("g", "k", (F.col("v0") != F.col("v1")).alias("many"))
-    met = stage(parts.join(digit, ["g", "k"]).select("key", "mark", "g", "p", "n", "alone", "many", F.when(F.col("many"), F.col("w")).alias("w")), "suffix-met")
+    digit = stage(digit.where("all >= 2").select("g", "k", (F.col("v0") != F.col("v1")).alias("many")), "suffix-part-digits")
+    met = stage(parts.join(digit.hint("merge"), ["g", "k"]).select("key", "mark", "g", "p", "n", "alone", "many", F.when(F.col("many"), F.col("w")).alias("w")), "suffix-met")
     unstage(parts)
+    unstage(digit)
     deep = met.where("many").select("key", "mark", "g", "p", "alone", F.posexplode("w").alias("i", "w"))
-    shared = deep.groupBy("g", "w").agg(F.count(F.lit(1)).alias("k")).where("k >= 2").select("g", "w")
-    partly = deep.where("alone").join(shared, ["g", "w"]).select("key", "mark", (F.col("p") + F.col("i")).alias("p"), F.lit(1).alias("n"))
+    shared = stage(deep.groupBy("g", "w").agg(F.count(F.lit(1)).alias("k")).where("k >= 2").select("g", "w"), "suffix-shared")
+    partly = deep.where("alone").join(shared.hint("merge"), ["g", "w"]).select("key", "mark", (F.col("p") + F.col("i")).alias("p"), F.lit(1).alias("n"))
     partly = partly.unionByName(met.where("alone AND NOT many").select("key", "mark", "p", "n"))
     whole = left.where("NOT many").select("key", "mark", "p", "n").unionByName(
         left.where("many").join(kinds.where("m >= 2").select("g", "c"), ["g", "c"]).select("key", "mark", "p", "n")
     )
-    return whole.unionByName(partly).groupBy("key", "mark").agg(F.collect_list(F.struct("p", "n")).alias("spans"))
+    # rows equal in id and text have equal spans: a set, so that many such rows make no longer list
+    return whole.unionByName(partly).groupBy("key", "mark").agg(F.collect_set(F.struct("p", "n")).alias("spans"))
 
 
 def merged(spans: pa.Array | None, window: int, n_bytes: int) -> list[tuple[int, int]]:

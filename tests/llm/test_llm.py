@@ -194,6 +194,29 @@ def test_suffix_dedup(docs, none, small):
     assert text[7].startswith("before") and "passage" not in text[7] and text[1] == ROWS[0][1] and text[3] is None
 
 
+def test_suffix_dedup_of_a_hot_passage(spark):
+    """A third of all rows is one row repeated, and a passage stands in many surroundings; nothing is lost or cut besides."""
+    rng = np.random.default_rng(11)
+    word = lambda n: " ".join(f"w{int(x)}" for x in rng.integers(0, 1 << 30, n))
+    passage = word(30)
+    rows = [(None, passage + " the end " * 9)] * 60
+    rows += [(i, f"{word(i % 9)} {passage[i % 50 :]} {word(i % 7)}") for i in range(90)]
+    rows += [(1_000 + i, word(40)) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    data = [t.encode() for _, t in rows]
+    want = [(str(i), len(b), sum(gone)) for (i, _), b, gone in zip(rows, data, _windows(data, 200))]
+    keys = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:  # hot keys are split over tasks
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        got = suffix_dedup.window_digest(df).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed) for r in got) == sorted(want)
+
+
 def _every_window(text, template, least):
     """Best Dice coefficient over all windows of words, by multisets."""
     w, t = license_scan.words_of(text), license_scan.words_of(template)
