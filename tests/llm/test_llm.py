@@ -3,16 +3,18 @@
 import collections
 import hashlib
 import os
+import re
 import unicodedata
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from corpusmill.llm import feistel_shards, length_packing, license_scan, lm_difference, multi_index, multiset_hash, simhash, suffix_dedup, toxicity, word_bpe
-from corpusmill.llm.common import read_table
+from corpusmill.llm.common import read_table, stage
 from tests.conftest import SF_SMALL
 
 LONG = " ".join(f"w{i} x{i % 7}." for i in range(4000))
@@ -463,6 +465,77 @@ def test_helper_columns_stay(spark):
         assert sorted(tuple(r) for r in out.select("doc_id", *names).collect()) == want
 
 
+def test_pipeline_by_brute_force(spark):
+    """Each stage's decisions on all that the stage before it kept, and the rows of ``run``, against plain Python."""
+    now, labels = read_table(spark, SF_SMALL, "documents"), read_table(spark, SF_SMALL, "labels")
+    rows = [(r.doc_id, r.text) for r in now.collect()]
+
+    # toxicity: the neighbours by all products; votes next to a step of the calibration may fall on either side
+    scorer = toxicity.train(now, labels)
+    dense = np.zeros((scorer.index.n, scorer.terms.n))
+    for t, (ids, weights) in enumerate(zip(scorer.index.ids, scorer.index.weights)):
+        dense[ids, t] = weights
+    now = stage(corpus_pipeline.drop_toxic(spark, now, SF_SMALL), "test-toxic")
+    kept = {r.doc_id for r in now.collect()}
+    for (i, _), (t, n) in zip(rows, scorer.terms.each(pa.array([t for _, t in rows], pa.string()))):
+        scores = {scorer.base}
+        if len(t):
+            unit = (1 + np.log(n)) * scorer.idf[t]
+            near = np.round(dense[:, t] @ (unit / np.linalg.norm(unit)), 12)
+            best = [j for j in np.lexsort((np.arange(len(near)), -near))[: toxicity.NEAREST] if near[j] > 0]
+            weight = 1 / (1.05 - np.minimum(near[best], 1))
+            vote = float(weight @ scorer.labels[best] / weight.sum()) if best else 0.0
+            scores = {float(scorer.steps[1][max(0, np.searchsorted(scorer.steps[0], v, side="right") - 1)]) for v in (vote - 1e-9, vote + 1e-9)}
+        assert (i in kept) in {s < toxicity.THRESHOLD for s in scores}
+
+    # SimHash: the smallest id of each component, by all pairs
+    rows = sorted((i, t) for i, t in rows if i in kept)
+    fp = np.array([simhash.fingerprint(t) for _, t in rows], dtype=np.uint64)
+    near, group = np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 3, np.arange(len(rows))
+    while True:
+        low = np.array([group[n].min() for n in near])
+        if (low == group).all():
+            break
+        group = low
+    now = stage(corpus_pipeline.drop_near_copies(spark, now, SF_SMALL), "test-near")
+    rows = [rows[g] for g in sorted(set(group.tolist()))]
+    assert sorted((r.doc_id, r.text) for r in now.collect()) == rows
+
+    # suffix array: a character goes when all its bytes lie in repeated windows
+    now = stage(corpus_pipeline.cut_repeats(spark, now, SF_SMALL), "test-cut")
+    data = [(t or "").encode() for _, t in rows]
+    want = []
+    for (i, t), gone in zip(rows, _windows(data, 200)):
+        out, at = [], 0
+        for c in t or "":
+            size = len(c.encode())
+            if not all(gone[at : at + size]):
+                out.append(c)
+            at += size
+        want.append((i, "".join(out)))
+    assert sorted((r.doc_id, r.text or "") for r in now.collect()) == want
+
+    # packing: every piece, the least padding that any boundaries reach, and gapless places in each bucket
+    pieces = []
+    for i, t in want:
+        n = len(re.findall(length_packing.WORD, t))
+        pieces += [(i, k, k * length_packing.MAX_LEN, min(length_packing.MAX_LEN, n - k * length_packing.MAX_LEN)) for k in range(max(1, -(-n // length_packing.MAX_LEN)))]
+    got = corpus_pipeline.run(spark, SF_SMALL).collect()
+    assert sorted((r.doc_id, r.piece, r.start, r.n_tokens) for r in got) == sorted(pieces)
+    sizes = sorted(n for *_, n in pieces if n)
+    ends = [k + 1 for k in range(len(sizes)) if k + 1 == len(sizes) or sizes[k + 1] > sizes[k]]
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    least = {0: 0}
+    for _ in range(length_packing.BUCKETS):
+        least = least | {e: min(c + (e - b) * sizes[e - 1] - int(total[e] - total[b]) for b, c in least.items() if b < e) for e in ends}
+    full = [r for r in got if r.n_tokens]
+    assert sum(r.padding for r in full) == least[len(sizes)]
+    assert all(r.padding == r.bucket_len - r.n_tokens >= 0 for r in full)
+    for b, size in {(r.bucket, r.bucket_len) for r in full}:
+        places = sorted(r.batch * (length_packing.BUDGET // size) + r.slot for r in full if r.bucket == b)
+        assert places == list(range(len(places)))
+
+
 def test_pipeline(spark, docs, none):
     for df in (docs, none):
         now = df
