@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import text as T
 from corpusmill.operators import stats as ST
-from corpusmill.streaming.ingest import ingested_stats, start_ingest
+from corpusmill.streaming.ingest import FILES_PER_SOURCE, LISTING, ingested_stats, start_ingest
 
 
 def _write(root, source, name, text):
@@ -56,3 +56,17 @@ def test_a_backlog_is_taken_in_batches(spark, tmp_dir):
     start_ingest(spark, src, corpus, stats, ckpt, max_files_per_trigger=2).awaitTermination()
     assert sorted(d for d in os.listdir(corpus) if d.startswith("batch=")) == ["batch=0", "batch=1", "batch=2"]
     assert [r.nb_docs for r in ingested_stats(spark, stats).collect()] == [5]
+
+
+def test_a_batch_writes_few_files_a_source(spark, tmp_dir):
+    """Eighty small files in many scan tasks; the session's conf is as before."""
+    src = os.path.join(tmp_dir, "in")
+    corpus, stats, ckpt = (os.path.join(tmp_dir, d) for d in ("corpus", "stats", "ckpt"))
+    for i in range(80):
+        _write(src, "A", f"{i}.txt", f"Trois mots ici numéro {i}.")
+    before = spark.conf.get(LISTING)
+    start_ingest(spark, src, corpus, stats, ckpt).awaitTermination()
+    assert spark.conf.get(LISTING) == before
+    found = [n for n in os.listdir(os.path.join(corpus, "batch=0", "source=A")) if n.endswith(".parquet")]
+    assert 0 < len(found) <= FILES_PER_SOURCE
+    assert [r.nb_docs for r in ingested_stats(spark, stats).collect()] == [80]
