@@ -295,3 +295,22 @@ def test_scan_split_gzip_keeps_equal_folder_names_apart(spark, tmp_dir):
     assert got == [("a", "train", 0, "a1"), ("a", "train", 1, "a2"), ("b", "train", 0, "b1"), ("b", "train", 1, "b2")]
     files = {r.row_order.file for d in folders for r in FS.scan_local_dispatch(spark, d).collect()}
     assert len(files) == 2
+
+
+def test_write_text_files_names_folders_as_partition_by(spark, tmp_dir):
+    rows = spark.createDataFrame([("a:b%", "x\r\ny"), (None, None), ("", "é"), ("c", "z")], "source string, text string")
+    rows.write.partitionBy("source").text(os.path.join(tmp_dir, "plain"))
+    out = os.path.join(tmp_dir, "out")
+    FS.write_text_files(rows.select(FS.partition_folder("source", rows.source).alias("folder"), "text"), out)
+    plain = {n for n in os.listdir(os.path.join(tmp_dir, "plain")) if n.startswith("source=")}
+    assert set(os.listdir(out)) == plain
+    texts = sorted(open(os.path.join(d, n), "rb").read() for d, _, names in os.walk(out) for n in names)
+    assert texts == sorted([b"x\r\ny\n", b"\n", "é\n".encode(), b"z\n"])
+
+
+def test_scan_text_files_query_has_one_file_a_document(spark, tmp_dir):
+    from corpusmill.plans.q_sources import q_scan_text_files
+
+    rows = [(i, "src0", f"texte {i}\r\nfin") for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(os.path.join(tmp_dir, "documents.parquet"))
+    assert sorted(r.text for r in q_scan_text_files(spark, tmp_dir).collect()) == sorted(f"texte {i}\nfin\n" for i in range(20))
