@@ -30,9 +30,12 @@ from pyspark.sql import functions as F
 from ..session import write_table
 
 MAGIC = b"\x1f\x8b\x08"
-CHUNK = 1 << 20
+#: Bytes of a read at most; the first of a run of reads is small, as most members are.
+CHUNK, FIRST_CHUNK = 1 << 20, 16 << 10
 #: Compressed bytes of a unit of work, at least (a unit ends with the member that reaches it).
 UNIT_BYTES = 32 << 20
+#: Tasks that read the units, at most; more units than that share tasks.
+TASKS_PER_CORE = 16
 
 
 class Stream:
@@ -50,7 +53,7 @@ class Stream:
         """The bytes from ``start`` on."""
         import pyarrow.fs as pfs
 
-        at = start
+        at, size = start, min(FIRST_CHUNK, chunk)
         for i in range(bisect_right(self.starts, start) - 1, len(self.paths)):
             path = self.paths[i]
             if path.startswith("file:/") and not path.startswith("file:///"):
@@ -58,9 +61,10 @@ class Stream:
             fs, inner = pfs.FileSystem.from_uri(path)
             with fs.open_input_file(inner) as fh:
                 fh.seek(at - self.starts[i])
-                while buf := fh.read(chunk):
+                while buf := fh.read(size):
                     at += len(buf)
                     yield buf
+                    size = min(2 * size, chunk)
 
 
 def header_places(stream: Stream, part: int) -> Iterator[int]:
@@ -214,20 +218,20 @@ def scan_members(spark: SparkSession, parts: dict[str, tuple[list[str], list[int
     schema = "folder string, position bigint, text string"
     if not parts:
         return spark.createDataFrame([], schema)
-    shared = spark.sparkContext.broadcast(parts)
+    shared = spark.sparkContext.broadcast({folder: Stream(*files) for folder, files in parts.items()})
     cores = spark.sparkContext.defaultParallelism
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for folder, part in zip(b["folder"], b["part"]):
-                yield pd.DataFrame({"folder": folder, "start": list(header_places(Stream(*shared.value[folder]), part))}).astype({"start": "int64"})
+                yield pd.DataFrame({"folder": folder, "start": list(header_places(shared.value[folder], part))}).astype({"start": "int64"})
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = [c.split()[0] for c in NOTE.split(", ")]
         for b in batches:
             notes = []
             for folder, start in zip(b["folder"], b["start"]):
-                found = note(Stream(*shared.value[folder]), folder, int(start))
+                found = note(shared.value[folder], folder, int(start))
                 if found is not None:
                     notes.append(found)
                 elif start == 0:
@@ -236,14 +240,14 @@ def scan_members(spark: SparkSession, parts: dict[str, tuple[list[str], list[int
 
     def walk(notes: pd.DataFrame) -> pd.DataFrame:
         folder = notes["folder"].iloc[0]
-        found = chain(folder, Stream(*shared.value[folder]).size, notes.to_dict("records"), unit_bytes)
+        found = chain(folder, shared.value[folder].size, notes.to_dict("records"), unit_bytes)
         return pd.DataFrame(found, columns=["folder", "start", "stop", "skip", "position"])
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for folder, start, stop, skip, position in zip(b["folder"], b["start"], b["stop"], b["skip"], b["position"]):
                 buf: list[str] = []
-                for line in unit_lines(Stream(*shared.value[folder]), int(start), int(stop), bool(skip)):
+                for line in unit_lines(shared.value[folder], int(start), int(stop), bool(skip)):
                     buf.append(line)
                     if len(buf) == batch_rows:
                         yield pd.DataFrame({"folder": folder, "position": range(position, position + len(buf)), "text": buf})
@@ -257,4 +261,4 @@ def scan_members(spark: SparkSession, parts: dict[str, tuple[list[str], list[int
     begins = spark.createDataFrame([(f, 0) for f, (_, lengths) in parts.items() if sum(lengths)], "folder string, start long")
     notes = found.unionByName(begins).distinct().repartition(4 * cores).mapInPandas(look, NOTE)
     units = write_table(notes.groupBy("folder").applyInPandas(walk, "folder string, start long, stop long, skip boolean, position long"), "gzip-units")
-    return units.repartition(max(1, units.count())).mapInPandas(emit, schema)
+    return units.repartition(max(1, min(units.count(), TASKS_PER_CORE * cores))).mapInPandas(emit, schema)

@@ -314,3 +314,14 @@ def test_scan_text_files_query_has_one_file_a_document(spark, tmp_dir):
     rows = [(i, "src0", f"texte {i}\r\nfin") for i in range(20)]
     spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(os.path.join(tmp_dir, "documents.parquet"))
     assert sorted(r.text for r in q_scan_text_files(spark, tmp_dir).collect()) == sorted(f"texte {i}\nfin\n" for i in range(20))
+
+
+def test_many_units_share_tasks(spark, tmp_dir):
+    most = GM.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    folder = os.path.join(tmp_dir, "corpus")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "p0.txt.gz"), "wb") as fh:
+        fh.write(b"".join(gzip.compress(f"ligne {i}\n".encode()) for i in range(most + 40)))
+    df = FS.scan_split_gzip(spark, folder, unit_bytes=1)
+    assert df.rdd.getNumPartitions() <= most
+    assert [(r.position, r.text) for r in df.orderBy("position").collect()] == [(i, f"ligne {i}") for i in range(most + 40)]
