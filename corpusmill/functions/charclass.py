@@ -128,6 +128,13 @@ def _latin1_word_chars() -> str:
     return "".join("\\x{%x}" % cp for cp in cps)
 
 
+def java_narrow(*bodies: str, negate: bool = False) -> str:
+    """The members below U+0100 (with ``negate``: those below U+0100 that are none), as single characters: a class of
+    these alone is one bit table for Java, which a look-ahead can ask before a class with wider ranges."""
+    cps = {cp for body in bodies for lo, hi in _class_items(body)[0] for cp in range(lo, min(hi, 0xFF) + 1)}
+    return "".join("\\x{%x}" % cp for cp in range(0x100) if (cp in cps) != negate)
+
+
 # Java layouts of the classes (same members, cheaper matching); the RE2 oracle uses the plain forms.
 J_WS = java_class(WS)
 J_P = java_class(P)
@@ -136,3 +143,7 @@ J_W = java_class(_latin1_word_chars(), W)
 J_NOT_WS = java_class(WS, negate=True)
 J_NOT_KEEP = java_class(L, "0-9", P, WS, negate=True)
 J_P_WS = java_class(P, WS)
+J_KEEP_NARROW = java_narrow(L, "0-9", P, WS)
+J_NOT_P_WS_NARROW = java_narrow(P, WS, negate=True)
+# Every word character and more: anything but ASCII's other characters.
+J_MAYBE_W = "^" + java_narrow(r"\x{00}-/:-@\[-^`{-\x{7f}")

@@ -15,7 +15,10 @@ from pyspark.sql.types import BinaryType
 
 from .charclass import (
     DEFAULT_MIN_WORDS,
+    J_KEEP_NARROW,
+    J_MAYBE_W,
     J_NOT_KEEP,
+    J_NOT_P_WS_NARROW,
     J_NOT_WS,
     J_L,
     J_P,
@@ -82,10 +85,17 @@ def normalize_whitespace(c: ColumnOrName, rm_new_lines: bool = False) -> Column:
 URL_HTML = f"(?:www|http)[^{WS}]+|<[^{WS}]+|[{W}]+/*>"
 URL_HTML_JAVA = f"(?:www|http)[{J_NOT_WS}]++|<[{J_NOT_WS}]++|(?=[{J_W}])(?<![{J_W}])[{J_W}]++/*>"
 
+# The same without its last alternative, for a text that has no ``>``.
+URL_OPEN_JAVA = f"(?:www|http)[{J_NOT_WS}]++|<[{J_NOT_WS}]++"
+
 
 def strip_urls_html(c: ColumnOrName) -> Column:
     """Remove URL runs, ``<`` + non-space runs and ``word>`` ends (not an HTML parser)."""
-    return F.regexp_replace(_c(c), URL_HTML_JAVA, "")
+    def strip(t: Column) -> Column:
+        opens = t.contains("<") | t.contains("www") | t.contains("http")
+        return F.when(t.contains(">"), F.regexp_replace(t, URL_HTML_JAVA, "")).when(opens, F.regexp_replace(t, URL_OPEN_JAVA, "")).otherwise(t)
+
+    return once(_c(c), strip)
 
 
 # --- T5 ---------------------------------------------------------------------
@@ -159,12 +169,12 @@ def word_gate_blank(c: ColumnOrName, n: int = DEFAULT_MIN_WORDS) -> Column:
 # --- T9-T14 -----------------------------------------------------------------
 def strip_foreign_chars(c: ColumnOrName) -> Column:
     """Delete everything outside letters, ASCII digits, ASCII punctuation and whitespace."""
-    return F.regexp_replace(_c(c), f"[{J_NOT_KEEP}]", "")
+    return F.regexp_replace(_c(c), f"(?:(?![{J_KEEP_NARROW}])[{J_NOT_KEEP}])++", "")
 
 
 def collapse_repeats(c: ColumnOrName) -> Column:
     """A run of the same punctuation or whitespace character becomes one."""
-    return F.regexp_replace(_c(c), f"([{J_P_WS}])\\1+", "$1")
+    return F.regexp_replace(_c(c), f"(?![{J_NOT_P_WS_NARROW}])([{J_P_WS}])\\1+", "$1")
 
 
 def space_after_punct(c: ColumnOrName) -> Column:
@@ -180,7 +190,10 @@ def space_before_punct(c: ColumnOrName) -> Column:
 def drop_long_words(c: ColumnOrName, min_len: int = LONG_WORD) -> Column:
     """Delete words of ``min_len``+ word characters with one optional mark and both neighbouring spaces."""
     # run-start anchor + possessive run: same matches as the plain pattern, no rescans inside words
-    return F.regexp_replace(_c(c), f"[{J_WS}]?(?<![{J_W}])[{J_W}]{{{min_len},}}+[{J_P}]?[{J_WS}]?", "")
+    words = f"[{J_WS}]?(?<![{J_W}])[{J_W}]{{{min_len},}}+[{J_P}]?[{J_WS}]?"
+    # few texts have a run that long, which one bit table tells
+    maybe = f"(?<![{J_MAYBE_W}])[{J_MAYBE_W}]{{{min_len}}}"
+    return once(_c(c), lambda t: F.when(t.rlike(maybe), F.regexp_replace(t, words, "")).otherwise(t))
 
 
 def collapse_spaces(c: ColumnOrName) -> Column:
@@ -232,10 +245,12 @@ def clean_text(
         t = keep_codepage(t, codepage)  # the code page has no U+2019: it must go before T6
         t = normalize_quote(t)
     else:
-        # T3 and T6 in one translate: U+2019 and "'" are both non-space, non-word characters,
+        # T3 and T6 together: U+2019 and "'" are both non-space, non-word characters,
         # so T4 removes exactly the same spans whichever apostrophe it sees.
-        frm = "\f’\r\n\t" if rm_new_lines else "\f’\r"
-        t = strip_urls_html(F.translate(t, frm, " '"))
+        # One replacement a character: each is a search for bytes, most often in vain.
+        for char, by in (("\f", " "), ("’", "'"), ("\r", ""), *((("\n", ""), ("\t", "")) if rm_new_lines else ())):
+            t = F.replace(t, F.lit(char), F.lit(by))
+        t = strip_urls_html(t)
     # Gate and body share the text prepared so far. The gate need not be checked a second time.
     t = once(t, lambda prepared: _gated_body(prepared, word_check_min))
     t = collapse_spaces(t)

@@ -111,3 +111,20 @@ def test_nfc_equals_python_on_every_code_point(spark):
     for r in df.select("i", T.normalize_nfc("t").alias("n")).collect():
         t = texts[r.i]
         assert r.n == (None if t is None else unicodedata.normalize("NFC", t))
+
+
+def test_cheap_checks_before_the_patterns_change_nothing(spark):
+    """Every pattern behind a check, or with a look-ahead, against its plain form."""
+    from corpusmill.functions import charclass as CC
+
+    texts = ["", None, "a/>b", "mot/ >", "www", "http a", "<b c", "x" * 34, " " + "x" * 35 + "! y", "日" * 36, "é" * 35, "!!  ..", "\x00a\x7f", "Œ€ß", "a  b", "’\f\r\n"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    c = F.col("t")
+    plain = {
+        T.strip_urls_html: F.regexp_replace(c, T.URL_HTML_JAVA, ""),
+        T.strip_foreign_chars: F.regexp_replace(c, f"[{CC.J_NOT_KEEP}]", ""),
+        T.collapse_repeats: F.regexp_replace(c, f"([{CC.J_P_WS}])\\1+", "$1"),
+        T.drop_long_words: F.regexp_replace(c, f"[{CC.J_WS}]?(?<![{CC.J_W}])[{CC.J_W}]{{35,}}+[{CC.J_P}]?[{CC.J_WS}]?", ""),
+    }
+    for f, want in plain.items():
+        assert df.where(~f(c).eqNullSafe(want)).count() == 0, f.__name__
