@@ -5,12 +5,14 @@ import os
 import random
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from corpusmill.operators import dedup as D
 from corpusmill.sources import catalog as C
 from corpusmill.sources import files as FS
 from corpusmill.sources import gzip_members as GM
+from corpusmill.sources import text_files as TF
 
 
 def _byte_split_corpus(root, name, lines, chunk):
@@ -316,6 +318,41 @@ def test_scan_text_files_query_has_one_file_a_document(spark, tmp_dir):
     assert sorted(r.text for r in q_scan_text_files(spark, tmp_dir).collect()) == sorted(f"texte {i}\nfin\n" for i in range(20))
 
 
+def _spark_scan(spark, path):
+    raw = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt")
+    return sorted((r.file_path, r.value.replace("\r\n", "\n")) for r in raw.select("_metadata.file_path", "value").collect())
+
+
+def test_text_files_are_listed_and_read_by_tasks(spark, tmp_dir):
+    """The driver's plan has no entry of a text file; rows and names are those of Spark's own scan."""
+    names = ["a b.txt", "é.txt", "p%q.txt", "x\u00a0y.txt", "h#[1].txt", "e=?;,&+@!$'()*~.txt", '"<>^`{|}.txt', "tab\t.txt", "\U0001f600.txt", "_a=b.txt", "_hid.txt", ".hid.txt", "y.TXT", "z.txt.gz"]
+    for folder in ("", "sub dir", "_hidden", ".dot", "_k=v", "deep/er/é", "source=a%3Ab", "x.txt", "none"):
+        os.makedirs(os.path.join(tmp_dir, folder), exist_ok=True)
+        for n in names if folder != "none" else []:
+            with open(os.path.join(tmp_dir, folder, n), "wb") as fh:
+                fh.write(f"{folder}|{n}\r\nfin".encode())
+    open(os.path.join(tmp_dir, "empty.txt"), "wb").close()
+    os.symlink(os.path.join(tmp_dir, "deep"), os.path.join(tmp_dir, "link"))
+    os.symlink(os.path.join(tmp_dir, "nowhere"), os.path.join(tmp_dir, "broken.txt"))
+    for path in (tmp_dir, f"file://{tmp_dir}/deep/", f"{tmp_dir}/{{deep,deep/er,sub*}}", f"{tmp_dir}/é.txt", f"{tmp_dir}/_hid.txt", f"{tmp_dir}/none"):
+        files = FS.scan_text_files(spark, path)
+        assert not [f for f in files.inputFiles() if f.endswith(".txt")], path
+        assert sorted((r.file_path, r.text) for r in files.collect()) == _spark_scan(spark, path), path
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        FS.scan_text_files(spark, os.path.join(tmp_dir, "missing"))
+
+
+def test_text_files_of_many_tasks_and_large_files(spark, tmp_dir):
+    """More files than a task's, and files that fill a batch of rows alone."""
+    texts = {f"{i}.txt": f"texte {i}\n" for i in range(300)} | {f"big{i}.txt": f"{i}" * (3 << 20) for i in range(4)}
+    for n, t in texts.items():
+        with open(os.path.join(tmp_dir, n), "w") as fh:
+            fh.write(t)
+    files = FS.scan_text_files(spark, tmp_dir)
+    assert 1 < files.rdd.getNumPartitions() <= TF.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert {r.file_path.rsplit("/", 1)[1]: r.text for r in files.collect()} == texts
+
+
 def test_many_units_share_tasks(spark, tmp_dir):
     most = GM.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
     folder = os.path.join(tmp_dir, "corpus")
