@@ -1,12 +1,17 @@
 """Incremental ingestion: two arrivals of files give the same stats as one batch over everything."""
 
+import json
 import math
 import os
+import shutil
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as T
 from corpusmill.operators import stats as ST
+from corpusmill.streaming import ingest as IN
 from corpusmill.streaming.ingest import FILES_PER_SOURCE, LISTING, ingested_stats, start_ingest
 
 
@@ -69,3 +74,67 @@ def test_a_batch_writes_few_files_a_source(spark, tmp_dir):
     found = [n for n in os.listdir(os.path.join(corpus, "batch=0", "source=A")) if n.endswith(".parquet")]
     assert 0 < len(found) <= FILES_PER_SOURCE
     assert [r.nb_docs for r in ingested_stats(spark, stats).collect()] == [80]
+
+
+def _lists(spark, ckpt):
+    """The files of each list, in the order in which the stream takes the lists."""
+    log = os.path.join(ckpt, "sources", "0")
+    entries = [json.loads(line) for n in os.listdir(log) if not n.startswith(".") for line in open(os.path.join(log, n)) if line.startswith("{")]
+    paths = [e["path"] for e in sorted(entries, key=lambda e: e["batchId"])]
+    return paths, [sorted(r.file_path.rsplit("/", 1)[1] for r in spark.read.parquet(p).collect()) for p in paths]
+
+
+def test_the_stream_keeps_lists_not_files(spark, tmp_dir):
+    """Twenty files in lists of eight: the file stream's log, which the driver holds, has an entry of a list, and a
+    restart lists what is new. The oldest files come first."""
+    src = os.path.join(tmp_dir, "in")
+    corpus, stats, ckpt = (os.path.join(tmp_dir, d) for d in ("corpus", "stats", "ckpt"))
+    for i in range(20):
+        _write(src, f"s {i % 3}", f"{i:02d}.txt", f"Trois mots ici numéro {i}.\r\nFin.")
+        os.utime(os.path.join(src, f"s {i % 3}", f"{i:02d}.txt"), (1e9 - i, 1e9 - i))
+    _write(src, "_hidden", "a.txt", "Trois mots ici cachés.")
+    _write(src, "s 0", "empty.txt", "")
+    start_ingest(spark, src, corpus, stats, ckpt, max_files_per_trigger=8).awaitTermination()
+    paths, files = _lists(spark, ckpt)
+    assert len(paths) == 3 and all(p.endswith(".parquet") for p in paths)
+    oldest = [f"{i:02d}.txt" for i in reversed(range(20))]
+    assert files == [sorted(oldest[i : i + 8]) for i in (0, 8, 16)]
+    _write(src, "s 0", "new.txt", "Encore trois mots.")
+    start_ingest(spark, src, corpus, stats, ckpt, max_files_per_trigger=8).awaitTermination()
+    start_ingest(spark, src, corpus, stats, ckpt, max_files_per_trigger=8).awaitTermination()  # nothing new
+    assert _lists(spark, ckpt)[1][3:] == [["new.txt"]]
+    assert {r.label: r.nb_docs for r in ingested_stats(spark, stats).collect()} == {"s%200": 8, "s%201": 7, "s%202": 6}
+
+
+def test_a_query_that_goes_on_lists_again(spark, tmp_dir, monkeypatch):
+    src = os.path.join(tmp_dir, "in")
+    corpus, stats, ckpt = (os.path.join(tmp_dir, d) for d in ("corpus", "stats", "ckpt"))
+    _write(src, "A", "first.txt", "Trois mots ici.")
+    monkeypatch.setattr(IN, "LISTING_SECONDS", 1)
+    query = start_ingest(spark, src, corpus, stats, ckpt, available_now=False)
+    _write(src, "B", "later.txt", "Encore trois mots.")
+
+    def wait(done):
+        until = time.time() + 60
+        while not done() and time.time() < until:
+            time.sleep(0.2)
+        assert done()
+
+    try:
+        wait(lambda: spark.read.schema("file_path string").parquet(os.path.join(ckpt, "arrivals")).count() == 2)
+        assert query.isActive
+        wait(lambda: os.path.exists(os.path.join(stats, "batch=0", "_SUCCESS")))
+        shutil.move(src, src + "-away")  # a listing that fails ends the query
+        wait(lambda: not query.isActive)
+    finally:
+        query.stop()
+    shutil.move(src + "-away", src)
+    start_ingest(spark, src, corpus, stats, ckpt).awaitTermination()
+    assert {r.label: r.nb_docs for r in ingested_stats(spark, stats).collect()} == {"A": 1, "B": 1}
+
+
+def test_a_checkpoint_without_lists_is_refused(spark, tmp_dir):
+    os.makedirs(os.path.join(tmp_dir, "ckpt", "offsets"))
+    _write(os.path.join(tmp_dir, "in"), "A", "a.txt", "Trois mots ici.")
+    with pytest.raises(ValueError, match="without lists"):
+        start_ingest(spark, os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "corpus"), os.path.join(tmp_dir, "stats"), os.path.join(tmp_dir, "ckpt"))
