@@ -7,6 +7,7 @@ Everything runs in the JVM (``regexp_replace``, ``translate``, ``regexp_count``)
 from __future__ import annotations
 
 import functools
+import operator
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -86,7 +87,7 @@ URL_HTML = f"(?:www|http)[^{WS}]+|<[^{WS}]+|[{W}]+/*>"
 URL_HTML_JAVA = f"(?:www|http)[{J_NOT_WS}]++|<[{J_NOT_WS}]++|(?=[{J_W}])(?<![{J_W}])[{J_W}]++/*>"
 
 # The same without its last alternative, for a text that has no ``>``.
-URL_OPEN_JAVA = f"(?:www|http)[{J_NOT_WS}]++|<[{J_NOT_WS}]++"
+URL_OPEN_JAVA = f"(?:http|www|<)[{J_NOT_WS}]++"
 
 
 def strip_urls_html(c: ColumnOrName) -> Column:
@@ -247,9 +248,10 @@ def clean_text(
     else:
         # T3 and T6 together: U+2019 and "'" are both non-space, non-word characters,
         # so T4 removes exactly the same spans whichever apostrophe it sees.
-        # One replacement a character: each is a search for bytes, most often in vain.
-        for char, by in (("\f", " "), ("’", "'"), ("\r", ""), *((("\n", ""), ("\t", "")) if rm_new_lines else ())):
-            t = F.replace(t, F.lit(char), F.lit(by))
+        # Few texts have the others, which a search for bytes tells.
+        others = "\f\r\n\t" if rm_new_lines else "\f\r"
+        t = F.replace(t, F.lit("’"), F.lit("'"))
+        t = once(t, lambda x: F.when(functools.reduce(operator.or_, map(x.contains, others)), normalize_whitespace(x, rm_new_lines)).otherwise(x))
         t = strip_urls_html(t)
     # Gate and body share the text prepared so far. The gate need not be checked a second time.
     t = once(t, lambda prepared: _gated_body(prepared, word_check_min))
